@@ -1,0 +1,6 @@
+"""Streaming.
+
+The source warehouse has no streaming, watermark, window or state handling:
+every load is a full refresh.  Nothing is built here on purpose; the batch
+loaders in ``strata.sources`` and ``strata.plans`` cover all of its work.
+"""
