@@ -270,3 +270,158 @@ SELECT CAST(sum(s.sales_amount) AS BIGINT) AS total_revenue,
      ORDER BY sum(sales_amount) DESC NULLS LAST, country ASC NULLS FIRST LIMIT 1) AS top_country
 FROM g_fact_sales s JOIN g_dim_customers c ON c.customer_key = s.customer_key
 WHERE s.order_date IS NOT NULL""", ["g_fact_sales", "g_dim_customers", "a_sales_base"])
+
+
+# ---- quality checks
+def _s(t: str) -> str:
+    return ", ".join(SILVER_COLUMNS[t])
+
+
+_DUE = ("sls_due_dt <= 0 OR length(CAST(sls_due_dt AS VARCHAR)) <> 8 OR sls_due_dt > 20500101 "
+        "OR sls_due_dt < 19000101")
+_ORDER = "sls_order_dt > sls_ship_dt OR sls_order_dt > sls_due_dt"
+_NULLS = ("sls_sales IS NULL OR sls_quantity IS NULL OR sls_price IS NULL OR sls_sales <= 0 "
+          "OR sls_quantity <= 0 OR sls_price <= 0")
+_AMOUNTS = f"sls_sales <> sls_quantity * sls_price OR {_NULLS}"
+_AMOUNTS_TOL = f"abs(sls_sales - sls_quantity * sls_price) > 1 OR {_NULLS}"
+_BDATE = f"bdate < DATE '1924-01-01' OR bdate > {AS_OF}"
+_COST = "prd_cost < 0 OR prd_cost IS NULL"
+_DC = ["customer_key", "customer_id", "customer_number", "first_name", "last_name", "country",
+       "marital_status", "gender", "birthdate", "create_date"]
+_DP = ["product_key", "product_id", "product_number", "product_name", "category_id", "category",
+       "subcategory", "maintenance", "cost", "product_line", "start_date"]
+_ORPHANS = ("FROM g_fact_sales f LEFT JOIN g_dim_customers c ON c.customer_key = f.customer_key "
+            "LEFT JOIN g_dim_products p ON p.product_key = f.product_key "
+            "WHERE p.product_key IS NULL OR c.customer_key IS NULL")
+_GOLD = ["g_fact_sales", "g_dim_customers", "g_dim_products"]
+
+_q("check_cust_id_unique", """SELECT cst_id, count(*) AS row_count FROM s_crm_cust_info
+GROUP BY cst_id HAVING count(*) > 1 OR cst_id IS NULL""", ["s_crm_cust_info"])
+_q("check_cust_key_trim", "SELECT cst_key FROM s_crm_cust_info WHERE cst_key <> trim(cst_key)",
+   ["s_crm_cust_info"])
+_q("domain_marital_status", "SELECT DISTINCT cst_marital_status FROM s_crm_cust_info",
+   ["s_crm_cust_info"])
+_q("check_prd_id_unique", """SELECT prd_id, count(*) AS row_count FROM s_crm_prd_info
+GROUP BY prd_id HAVING count(*) > 1 OR prd_id IS NULL""", ["s_crm_prd_info"])
+_q("check_prd_nm_trim", "SELECT prd_nm FROM s_crm_prd_info WHERE prd_nm <> trim(prd_nm)",
+   ["s_crm_prd_info"])
+_q("check_prd_cost", f"SELECT prd_cost FROM s_crm_prd_info WHERE {_COST}", ["s_crm_prd_info"])
+_q("domain_prd_line", "SELECT DISTINCT prd_line FROM s_crm_prd_info", ["s_crm_prd_info"])
+_q("check_prd_date_order", f"SELECT {_s('crm_prd_info')} FROM s_crm_prd_info "
+   "WHERE prd_end_dt < prd_start_dt", ["s_crm_prd_info"])
+_q("check_due_dt_valid", f"SELECT NULLIF(sls_due_dt, 0) AS sls_due_dt FROM b_crm_sales_details "
+   f"WHERE {_DUE}", ["b_crm_sales_details"])
+_q("check_sales_date_order", f"SELECT {_s('crm_sales_details')} FROM s_crm_sales_details "
+   f"WHERE {_ORDER}", ["s_crm_sales_details"])
+_q("check_sales_consistency", f"""SELECT DISTINCT sls_sales, sls_quantity, sls_price
+FROM s_crm_sales_details WHERE {_AMOUNTS}
+ORDER BY sls_sales NULLS FIRST, sls_quantity NULLS FIRST, sls_price NULLS FIRST""",
+   ["s_crm_sales_details"])
+_q("check_bdate_range", f"SELECT DISTINCT bdate FROM s_erp_cust_az12 WHERE {_BDATE}",
+   ["s_erp_cust_az12"])
+_q("domain_gen", "SELECT DISTINCT gen FROM s_erp_cust_az12", ["s_erp_cust_az12"])
+_q("domain_cntry", "SELECT DISTINCT cntry FROM s_erp_loc_a101 ORDER BY cntry NULLS FIRST",
+   ["s_erp_loc_a101"])
+_q("check_px_cat_trim", """SELECT id, cat, subcat, maintenance FROM s_erp_px_cat_g1v2
+WHERE cat <> trim(cat) OR subcat <> trim(subcat) OR maintenance <> trim(maintenance)""",
+   ["s_erp_px_cat_g1v2"])
+_q("domain_maintenance", "SELECT DISTINCT maintenance FROM s_erp_px_cat_g1v2",
+   ["s_erp_px_cat_g1v2"])
+for _key, _tab, _cnt in (("customer_key", "g_dim_customers", "duplicate_count"),
+                         ("product_key", "g_dim_products", "duplicate_count"),
+                         ("customer_id", "g_dim_customers", "duplicate_count"),
+                         ("product_number", "g_dim_products", "duplicate_count")):
+    _q(f"check_{_key}_unique", f"SELECT {_key}, count(*) AS {_cnt} FROM {_tab} "
+       f"GROUP BY {_key} HAVING count(*) > 1", [_tab])
+_q("check_orphans", "SELECT f.*, " + ", ".join([f"c.{c} AS c_{c}" for c in _DC]
+                                                 + [f"p.{c} AS p_{c}" for c in _DP])
+   + " " + _ORPHANS, _GOLD)
+
+_q("report_bronze_counts", " UNION ALL ".join(
+    f"SELECT 'bronze.{t}' AS table_name, count(*) AS row_count FROM b_{t}" for t in TABLES),
+   [f"b_{t}" for t in TABLES])
+_q("report_bronze_null_keys", """
+SELECT 'bronze.crm_cust_info — null cst_id' AS check_name, count(*) AS violation_count
+FROM b_crm_cust_info WHERE cst_id IS NULL
+UNION ALL
+SELECT 'bronze.crm_sales_details — null order num', count(*)
+FROM b_crm_sales_details WHERE sls_ord_num IS NULL""", ["b_crm_cust_info", "b_crm_sales_details"])
+_q("report_dup_cust", """SELECT cst_id, count(*) AS duplicate_count FROM s_crm_cust_info
+GROUP BY cst_id HAVING count(*) > 1""", ["s_crm_cust_info"])
+_q("report_bad_cost", f"SELECT prd_id, prd_nm, prd_cost FROM s_crm_prd_info WHERE {_COST}",
+   ["s_crm_prd_info"])
+_q("report_sales_mismatch", f"""SELECT sls_ord_num, sls_quantity, sls_price, sls_sales,
+  sls_quantity * sls_price AS expected_sales
+FROM s_crm_sales_details WHERE {_AMOUNTS_TOL}""", ["s_crm_sales_details"])
+_q("report_date_order", f"""SELECT sls_ord_num, sls_order_dt, sls_ship_dt, sls_due_dt
+FROM s_crm_sales_details WHERE {_ORDER}""", ["s_crm_sales_details"])
+_q("report_bdate", f"SELECT cid, bdate FROM s_erp_cust_az12 WHERE {_BDATE}", ["s_erp_cust_az12"])
+_q("report_whitespace", """
+SELECT 'crm_cust_info — cst_key has leading/trailing space' AS issue, count(*) AS cnt
+FROM s_crm_cust_info WHERE cst_key <> trim(cst_key)
+UNION ALL
+SELECT 'crm_prd_info — prd_nm has leading/trailing space', count(*)
+FROM s_crm_prd_info WHERE prd_nm <> trim(prd_nm)""", ["s_crm_cust_info", "s_crm_prd_info"])
+_q("report_domains", """
+SELECT DISTINCT 'cst_gndr' AS column_name, cst_gndr AS value FROM s_crm_cust_info
+UNION ALL SELECT DISTINCT 'cst_marital_status', cst_marital_status FROM s_crm_cust_info
+UNION ALL SELECT DISTINCT 'gen', gen FROM s_erp_cust_az12""", ["s_crm_cust_info", "s_erp_cust_az12"])
+_q("report_countries", "SELECT DISTINCT cntry FROM s_erp_loc_a101 ORDER BY cntry NULLS FIRST",
+   ["s_erp_loc_a101"])
+_q("report_dup_customer_key", """SELECT customer_key, count(*) AS dup_count FROM g_dim_customers
+GROUP BY customer_key HAVING count(*) > 1""", ["g_dim_customers"])
+_q("report_dup_product_key", """SELECT product_key, count(*) AS dup_count FROM g_dim_products
+GROUP BY product_key HAVING count(*) > 1""", ["g_dim_products"])
+_q("report_orphans", """SELECT f.order_number, f.customer_key, f.product_key,
+  CASE WHEN c.customer_key IS NULL THEN 'Missing customer' ELSE '' END AS customer_issue,
+  CASE WHEN p.product_key IS NULL THEN 'Missing product' ELSE '' END AS product_issue
+""" + _ORPHANS, _GOLD)
+_q("report_bad_amount", """SELECT order_number, sales_amount FROM g_fact_sales
+WHERE sales_amount <= 0 OR sales_amount IS NULL""", ["g_fact_sales"])
+
+_REPORT = [
+    ("bronze", "null_cst_id", "SELECT count(*) FROM b_crm_cust_info WHERE cst_id IS NULL"),
+    ("bronze", "null_sls_ord_num", "SELECT count(*) FROM b_crm_sales_details WHERE sls_ord_num IS NULL"),
+    ("silver", "duplicate_cst_id", "SELECT count(*) FROM (SELECT cst_id FROM s_crm_cust_info "
+     "GROUP BY cst_id HAVING count(*) > 1) d"),
+    ("silver", "cst_key_whitespace", "SELECT count(*) FROM s_crm_cust_info WHERE cst_key <> trim(cst_key)"),
+    ("silver", "bad_prd_cost", f"SELECT count(*) FROM s_crm_prd_info WHERE {_COST}"),
+    ("silver", "prd_nm_whitespace", "SELECT count(*) FROM s_crm_prd_info WHERE prd_nm <> trim(prd_nm)"),
+    ("silver", "sales_mismatch", f"SELECT count(*) FROM s_crm_sales_details WHERE {_AMOUNTS_TOL}"),
+    ("silver", "order_after_ship_or_due", f"SELECT count(*) FROM s_crm_sales_details WHERE {_ORDER}"),
+    ("silver", "bdate_out_of_range", f"SELECT count(*) FROM s_erp_cust_az12 WHERE {_BDATE}"),
+    ("gold", "duplicate_customer_key", "SELECT count(*) FROM (SELECT customer_key FROM g_dim_customers "
+     "GROUP BY customer_key HAVING count(*) > 1) d"),
+    ("gold", "duplicate_product_key", "SELECT count(*) FROM (SELECT product_key FROM g_dim_products "
+     "GROUP BY product_key HAVING count(*) > 1) d"),
+    ("gold", "orphan_fact_rows", f"SELECT count(*) {_ORPHANS}"),
+    ("gold", "bad_sales_amount", "SELECT count(*) FROM g_fact_sales WHERE sales_amount <= 0 "
+     "OR sales_amount IS NULL"),
+]
+_q("data_quality_report", "SELECT layer, check_name, violations, violations = 0 AS passed FROM ("
+   + " UNION ALL ".join(f"SELECT '{lay}' AS layer, '{n}' AS check_name, ({s}) AS violations"
+                        for lay, n, s in _REPORT) + ") r",
+   [f"b_{t}" for t in TABLES] + [f"s_{t}" for t in TABLES] + _GOLD)
+
+
+def _profile(t: str) -> str:
+    from strata.schemas import BRONZE
+    cols = [f.name for f in BRONZE[t].fields]
+    nulls = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+    n = len(cols)
+    return (f"SELECT '{t}' AS table_name, count(*) AS row_count, ({nulls}) AS null_cells, "
+            f"CASE WHEN count(*) * {n} > 0 THEN CAST(100 AS DOUBLE) * ({nulls}) / (count(*) * {n}) "
+            f"ELSE 0.0 END AS null_pct, "
+            f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM b_{t}) d) AS duplicates "
+            f"FROM b_{t}")
+
+
+_q("profile_tables", " UNION ALL ".join(_profile(t) for t in TABLES), [f"b_{t}" for t in TABLES])
+_q("bronze_load_audit", " UNION ALL ".join(
+    f"SELECT 'bronze' AS layer, '{t}' AS table_name, count(*) AS row_count, "
+    f"CAST(0 AS BIGINT) AS quarantined, 'loaded' AS status FROM b_{t}" for t in TABLES),
+   [f"b_{t}" for t in TABLES])
+_q("silver_load_audit", " UNION ALL ".join(
+    f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS row_count, "
+    f"CAST(0 AS BIGINT) AS quarantined, 'loaded' AS status FROM s_{t}" for t in TABLES),
+   [f"s_{t}" for t in TABLES])

@@ -27,17 +27,20 @@ def load_csv_table(store: LayerStore, landing_dir: str, table: str,
                    BRONZE[table], null_value=null_value)
     staged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull())
     out = store.write(staged, "bronze_staged", table, partition_by=["_bad"])
-    counts = out.groupBy("_bad").count().collect()  # at most two rows
+    # partition values come back as text; at most two rows reach the driver
+    counts = out.groupBy(F.col("_bad").cast("boolean").alias("_bad")).count().collect()
     by_flag = {r["_bad"]: r["count"] for r in counts}
     return by_flag.get(False, 0), by_flag.get(True, 0)
 
 
 def bronze_table(store: LayerStore, table: str) -> DataFrame:
-    return store.read("bronze_staged", table).filter(~F.col("_bad")).drop("_bad", CORRUPT)
+    staged = store.read("bronze_staged", table)
+    return staged.filter(~F.col("_bad").cast("boolean")).drop("_bad", CORRUPT)
 
 
 def quarantine_table(store: LayerStore, table: str) -> DataFrame:
-    return store.read("bronze_staged", table).filter(F.col("_bad")).select(CORRUPT)
+    staged = store.read("bronze_staged", table)
+    return staged.filter(F.col("_bad").cast("boolean")).select(CORRUPT)
 
 
 def load_bronze(store: LayerStore, landing_dir: str, null_value: str = "") -> DataFrame:
