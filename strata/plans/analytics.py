@@ -105,11 +105,31 @@ def revenue_trends(monthly: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- KPI row
-def _top1(df: DataFrame, label: Column, name: str) -> DataFrame:
-    """TOP 1 label by summed sales (ties: smallest label); a partial top-1 per task."""
-    return (df.groupBy(label.alias(name)).agg(F.sum("sales_amount").alias("_rev"))
-            .orderBy(F.col("_rev").desc_nulls_last(), F.col(name).asc_nulls_first())
-            .limit(1).select(name))
+# grouping_id() of each set below, with columns (month_label, product_name, country)
+_TOP_SETS = {"best_sales_month": 3, "top_product": 5, "top_country": 6}
+
+
+def top_labels(base: DataFrame) -> DataFrame:
+    """TOP 1 month, product and country by summed sales, from one pass.
+
+    GROUPING SETS aggregates the three groupings in a single scan (partial
+    aggregation map-side); the best row per grouping is a row_number = 1
+    filter, planned as a partial WindowGroupLimit before its shuffle.  Ties
+    go to the smallest label.  One row with three columns (NULL when empty).
+    """
+    labelled = base.select(F.date_format("order_date", "MMM yyyy").alias("month_label"),
+                           "product_name", "country", "sales_amount")
+    g = (labelled.groupingSets([["month_label"], ["product_name"], ["country"]],
+                               "month_label", "product_name", "country")
+         .agg(F.sum("sales_amount").alias("_rev"), F.grouping_id().alias("_gid")))
+    label = (F.when(F.col("_gid") == 3, F.col("month_label"))
+             .when(F.col("_gid") == 5, F.col("product_name")).otherwise(F.col("country")))
+    w = Window.partitionBy("_gid").orderBy(F.col("_rev").desc_nulls_last(),
+                                           F.col("_label").asc_nulls_first())
+    best = (g.withColumn("_label", label).withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1))
+    return best.agg(*[F.max(F.when(F.col("_gid") == gid, F.col("_label"))).alias(name)
+                      for name, gid in _TOP_SETS.items()])
 
 
 def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
@@ -117,9 +137,6 @@ def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
     base = (valid.select("product_key", "customer_key", "order_date", "sales_amount")
             .join(dp.select("product_key", "product_name"), "product_key")
             .join(dc.select("customer_key", "country"), "customer_key"))
-    best_month = _top1(base, F.date_format("order_date", "MMM yyyy"), "month_label")
-    top_product = _top1(base, F.col("product_name"), "product_name")
-    top_country = _top1(base, F.col("country"), "country")
     orders = F.countDistinct("order_number")
     totals = (valid.select("customer_key", "order_number", "sales_amount", "quantity")
               .join(dc.select("customer_key"), "customer_key")
@@ -129,10 +146,10 @@ def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
                    F.countDistinct("customer_key").alias("unique_customers"),
                    round_ratio(F.sum("quantity"), orders, 1, scale=1)
                     .alias("avg_items_per_order")))
-    # Scalar subqueries: an empty one yields NULL instead of dropping the row.
-    return totals.select("*", best_month.scalar().alias("best_sales_month"),
-                         top_product.scalar().alias("top_product"),
-                         top_country.scalar().alias("top_country"))
+    # One scalar subquery carries the three labels; empty input gives NULLs.
+    tops = top_labels(base).select(F.struct(*_TOP_SETS).alias("_t")).scalar()
+    return totals.select("*", tops.alias("_t")).select(
+        *totals.columns, *[F.col(f"_t.{n}").alias(n) for n in _TOP_SETS])
 
 
 # ---------------------------------------------------------------- products
