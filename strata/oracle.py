@@ -146,19 +146,30 @@ _TIE = ("customer_id ASC NULLS FIRST, country ASC NULLS FIRST, first_name ASC NU
         "last_name ASC NULLS FIRST")
 
 
-def _rfm_final(r: str, f: str, m: str) -> str:
+def _rfm_scores(r: str, f: str, m: str) -> str:
+    return f"""
+SELECT *,
+  CAST(ntile(5) OVER (ORDER BY {r}, {_TIE}) AS BIGINT) AS r_score,
+  CAST(ntile(5) OVER (ORDER BY {f}, {_TIE}) AS BIGINT) AS f_score,
+  CAST(ntile(5) OVER (ORDER BY {m}, {_TIE}) AS BIGINT) AS m_score
+FROM a_rfm_raw"""
+
+
+CTES["a_rfm_scores"] = (_rfm_scores("recency_days ASC NULLS FIRST", "frequency DESC NULLS LAST",
+                                    "monetary DESC NULLS LAST"), ["a_rfm_raw"])
+CTES["a_rfm_scores_best_high"] = (_rfm_scores("recency_days DESC NULLS LAST",
+                                              "frequency ASC NULLS FIRST",
+                                              "monetary ASC NULLS FIRST"), ["a_rfm_raw"])
+
+
+def _rfm_final(scores: str) -> str:
     return f"""
 SELECT customer_id, customer_name, country, last_order_date, recency_days, frequency,
   monetary AS lifetime_value, r_score, f_score, m_score, rfm_total,
   CASE WHEN rfm_total >= 13 THEN 'Champions' WHEN rfm_total >= 10 THEN 'Loyal'
        WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk' WHEN rfm_total <= 6 THEN 'Lost'
        ELSE 'Potential' END AS segment
-FROM (SELECT *, r_score + f_score + m_score AS rfm_total FROM (
-  SELECT *,
-    CAST(ntile(5) OVER (ORDER BY {r}, {_TIE}) AS BIGINT) AS r_score,
-    CAST(ntile(5) OVER (ORDER BY {f}, {_TIE}) AS BIGINT) AS f_score,
-    CAST(ntile(5) OVER (ORDER BY {m}, {_TIE}) AS BIGINT) AS m_score
-  FROM a_rfm_raw) s) c
+FROM (SELECT *, r_score + f_score + m_score AS rfm_total FROM {scores}) c
 ORDER BY rfm_total DESC"""
 
 
@@ -238,11 +249,32 @@ _q("rfm_raw", """
 SELECT customer_id, customer_name, country, last_order_date, recency_days, frequency, monetary
 FROM a_rfm_raw""", ["a_rfm_raw"])
 
-_q("rfm_segmentation", _rfm_final("recency_days ASC NULLS FIRST", "frequency DESC NULLS LAST",
-                                  "monetary DESC NULLS LAST"), ["a_rfm_raw"])
-_q("rfm_segmentation_best_high", _rfm_final("recency_days DESC NULLS LAST",
-                                            "frequency ASC NULLS FIRST",
-                                            "monetary ASC NULLS FIRST"), ["a_rfm_raw"])
+_q("rfm_segmentation", _rfm_final("a_rfm_scores"), ["a_rfm_scores"])
+_q("rfm_segmentation_best_high", _rfm_final("a_rfm_scores_best_high"), ["a_rfm_scores_best_high"])
+_q("rfm_scores", """SELECT customer_id, customer_name, country, last_order_date, recency_days,
+  frequency, monetary, r_score, f_score, m_score FROM a_rfm_scores""", ["a_rfm_scores"])
+
+_q("dedup_latest", """
+SELECT cst_id, cst_key, cst_firstname, cst_lastname, cst_marital_status, cst_gndr, cst_create_date
+FROM (SELECT *, row_number() OVER (PARTITION BY cst_id ORDER BY cst_create_date DESC NULLS LAST,
+        cst_key ASC NULLS FIRST, cst_firstname ASC NULLS FIRST, cst_lastname ASC NULLS FIRST,
+        cst_marital_status ASC NULLS FIRST, cst_gndr ASC NULLS FIRST) AS flag_last
+      FROM b_crm_cust_info WHERE cst_id IS NOT NULL) t
+WHERE flag_last = 1""", ["b_crm_cust_info"])
+_q("scd2_end_dates", """
+SELECT prd_id, prd_key, CAST(prd_start_dt AS DATE) AS prd_start_dt,
+  CAST(CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt ASC NULLS FIRST,
+       prd_id ASC NULLS FIRST) AS DATE) - 1 AS DATE) AS prd_end_dt
+FROM b_crm_prd_info""", ["b_crm_prd_info"])
+_q("parse_int_dates", "SELECT sls_ord_num, sls_prd_key, " + ", ".join(
+    f"sls_{c}_dt AS sls_{c}_int, {_date(f'sls_{c}_dt')} AS sls_{c}_dt"
+    for c in ("order", "ship", "due")) + " FROM b_crm_sales_details", ["b_crm_sales_details"])
+for _key, _label in (("best_month", "strftime(order_date, '%b %Y')"),
+                     ("top_product", "product_name"), ("top_country", "country")):
+    _name = {"best_month": "month_label"}.get(_key, _label)
+    _q(_key, f"""SELECT {_label} AS {_name}, CAST(sum(sales_amount) AS BIGINT) AS rev
+FROM a_sales_base GROUP BY 1 ORDER BY rev DESC NULLS LAST, {_name} ASC NULLS FIRST LIMIT 1""",
+       ["a_sales_base"])
 
 _q("product_sales", "SELECT * FROM a_product_sales", ["a_product_sales"])
 _q("product_ranked", "SELECT * FROM a_product_ranked", ["a_product_ranked"])

@@ -132,11 +132,29 @@ def top_labels(base: DataFrame) -> DataFrame:
                       for name, gid in _TOP_SETS.items()])
 
 
-def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
-    valid = fact.filter(F.col("order_date").isNotNull())
-    base = (valid.select("product_key", "customer_key", "order_date", "sales_amount")
+def sales_base(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
+    """Dated sales with product name and country (inner joins to both dims)."""
+    return (fact.filter(F.col("order_date").isNotNull())
+            .select("product_key", "customer_key", "order_number", "order_date",
+                    "sales_amount", "quantity")
             .join(dp.select("product_key", "product_name"), "product_key")
             .join(dc.select("customer_key", "country"), "customer_key"))
+
+
+def top_by_revenue(base: DataFrame, label: Column, name: str) -> DataFrame:
+    """TOP 1 ``name`` by summed sales with its revenue (ties: smallest label).
+
+    A grouped sum then ``orderBy(...).limit(1)``: planned as a per-task top-1
+    (TakeOrderedAndProject), never a global sort.
+    """
+    return (base.groupBy(label.alias(name)).agg(F.sum("sales_amount").alias("rev"))
+            .orderBy(F.col("rev").desc_nulls_last(), F.col(name).asc_nulls_first())
+            .limit(1))
+
+
+def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
+    valid = fact.filter(F.col("order_date").isNotNull())
+    base = sales_base(fact, dp, dc)
     orders = F.countDistinct("order_number")
     totals = (valid.select("customer_key", "order_number", "sales_amount", "quantity")
               .join(dc.select("customer_key"), "customer_key")

@@ -13,13 +13,22 @@ from strata.operators.dedup import dedup_latest
 from strata.operators.scd2 import scd2_end_dates
 
 
-def crm_cust_info(b: DataFrame) -> DataFrame:
-    """Latest row per cst_id (NULL ids dropped first), trimmed names, mapped codes."""
-    latest = dedup_latest(
+def latest_customers(b: DataFrame) -> DataFrame:
+    """Latest bronze row per cst_id; NULL ids are dropped before ranking.
+
+    Newest create date first; ties go to the smallest key, then the other
+    columns, so the pick is deterministic.
+    """
+    return dedup_latest(
         b.filter(F.col("cst_id").isNotNull()), ["cst_id"],
         [F.col("cst_create_date").desc_nulls_last(), F.col("cst_key").asc_nulls_first(),
          *[F.col(c).asc_nulls_first() for c in
            ("cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr")]])
+
+
+def crm_cust_info(b: DataFrame) -> DataFrame:
+    """Latest row per cst_id, trimmed names, mapped codes."""
+    latest = latest_customers(b)
     return latest.select(
         "cst_id", "cst_key",
         F.trim("cst_firstname").alias("cst_firstname"),
@@ -29,14 +38,22 @@ def crm_cust_info(b: DataFrame) -> DataFrame:
         "cst_create_date")
 
 
+def product_versions(b: DataFrame) -> DataFrame:
+    """Bronze products with recomputed version end dates (source end discarded).
+
+    Versions follow the *source* key (category included); equal starts are
+    ordered by prd_id.
+    """
+    return scd2_end_dates(b.drop("prd_end_dt"), "prd_key", "prd_start_dt",
+                          [F.col("prd_id").asc_nulls_first()], "prd_end_dt")
+
+
 def crm_prd_info(b: DataFrame) -> DataFrame:
     """Split the key, default the cost, map the line, recompute version ends.
 
-    The end date follows versions of the *source* key (category included),
-    so it is computed before the key is cut.
+    The end date is computed before the key is cut.
     """
-    ended = scd2_end_dates(b.drop("prd_end_dt"), "prd_key", "prd_start_dt",
-                           [F.col("prd_id").asc_nulls_first()], "prd_end_dt")
+    ended = product_versions(b)
     return ended.select(
         "prd_id",
         F.replace(F.substring("prd_key", 1, 5), F.lit("-"), F.lit("_")).alias("cat_id"),

@@ -116,6 +116,14 @@ class Warehouse:
     def revenue_trends(self) -> DataFrame:
         return analytics.revenue_trends(self.monthly_revenue())
 
+    def rfm_scores(self) -> DataFrame:
+        self.rfm_segmentation()
+        return self.store.read("work", "rfm_scores")
+
+    def sales_base(self) -> DataFrame:
+        return analytics.sales_base(self.gold("fact_sales"), self.gold("dim_products"),
+                                    self.gold("dim_customers"))
+
     def kpi_summary(self) -> DataFrame:
         return analytics.kpi_summary(self.gold("fact_sales"), self.gold("dim_products"),
                                      self.gold("dim_customers"))
@@ -132,6 +140,36 @@ class Warehouse:
         return analytics.top_bottom(self.product_ranked(), n)
 
 
+    # ------------------------------------------------------------ catalog
+    def publish_catalog(self) -> list[str]:
+        """Register the run's tables as ``bronze.*``, ``silver.*``, ``gold.*``.
+
+        External tables over the run's folders (databases located under the
+        checkpoint root), so users can query every layer with SQL.
+        """
+        self.load_silver()
+        for g in ("dim_customers", "dim_products", "fact_sales"):
+            self.gold(g)
+        names = []
+        for layer, tables in (("bronze", TABLES), ("silver", TABLES),
+                              ("gold", ["dim_customers", "dim_products", "fact_sales"])):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} "
+                           f"LOCATION '{self.store.root}/catalog/{layer}'")
+            for t in tables:
+                if layer == "bronze":
+                    # clean rows of the single-pass staged load (quarantine excluded)
+                    cols = ", ".join(self.bronze(t).columns)
+                    path = self.store.path("bronze_staged", t)
+                    self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{t} AS SELECT {cols} "
+                                   f"FROM parquet.`{path}` WHERE NOT CAST(_bad AS BOOLEAN)")
+                else:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{t}")
+                    self.spark.sql(f"CREATE TABLE {layer}.{t} USING parquet "
+                                   f"LOCATION '{self.store.path(layer, t)}'")
+                names.append(f"{layer}.{t}")
+        return names
+
+
 _RUNS: dict[tuple, Warehouse] = {}
 
 

@@ -129,3 +129,14 @@ def test_orphans_and_profile(spark):
     p = profile(df, "t").first()
     assert (p.row_count, p.null_cells, p.duplicates) == (3, 2, 1)
     assert abs(p.null_pct - 100 * 2 / 6) < 1e-12
+
+
+def test_publish_catalog(spark):
+    from strata.plans.warehouse import warehouse
+    w = warehouse(spark, "/root/testdata/sf0.001")
+    names = w.publish_catalog()
+    assert "gold.fact_sales" in names and "bronze.crm_cust_info" in names
+    n = spark.sql("SELECT count(*) FROM gold.fact_sales").first()[0]
+    assert n == w.gold("fact_sales").count()
+    assert spark.sql("SELECT count(*) FROM bronze.crm_cust_info").first()[0] == \
+        w.bronze("crm_cust_info").count()
