@@ -30,18 +30,27 @@ from strata.sources.store import materialize
 _PART, _MID, _OFF, _TOTAL = "_rk_part", "_rk_mid", "_rk_off", "_rk_total"
 
 
+def scratch_root(spark) -> str:
+    """This application's folder for ranking intermediates."""
+    return f"{checkpoint_root(spark)}/strata/_work/{spark.sparkContext.applicationId}"
+
+
 def _scratch(df: DataFrame, name: str) -> str:
-    return f"{checkpoint_root(df.sparkSession)}/strata/_work/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def global_row_number(df: DataFrame, order: list[Column], out: str = "rn",
                       num_ranges: int | None = None, keep_total: bool = False,
                       name: str = "rownum") -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order`` (bigint)."""
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
+    """Add ``out`` = 1-based position of each row in ``order`` (bigint).
+
+    Without ``num_ranges`` the range count starts at the shuffle partition
+    number and AQE coalesces *adjacent* ranges to its advisory size, which
+    keeps the global order (coalesced range i still precedes range i + 1).
+    """
+    ranged = (df.repartitionByRange(num_ranges, *order) if num_ranges
+              else df.repartitionByRange(*order))
+    tagged = (ranged.sortWithinPartitions(*order)
               .select("*", F.spark_partition_id().alias(_PART),
                       F.monotonically_increasing_id().alias(_MID)))
     tagged = materialize(tagged, _scratch(df, name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.checks import lookup
 from strata.operators.ranking import surrogate_key
 
 # A side is hinted for broadcast only when its counted row number is below
@@ -63,11 +64,16 @@ def dim_products(pn: DataFrame, pc: DataFrame) -> DataFrame:
 
 
 def fact_sales(sd: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
-    """Sales with surrogate keys looked up by business key (left joins)."""
-    dp = dp.select("product_key", F.col("product_number").alias("_dp_number"))
-    dc = dc.select("customer_key", F.col("customer_id").alias("_dc_id"))
-    j = (sd.join(dp, sd.sls_prd_key == dp._dp_number, "left")
-           .join(dc, sd.sls_cust_id == dc._dc_id, "left"))
+    """Sales with surrogate keys looked up by business key (left joins).
+
+    Shuffle joins when the dimensions are large (AQE splits a hot key on the
+    sales side); rows whose business key is NULL bypass the join.
+    """
+    dp = dp.select(F.col("product_number").alias("sls_prd_key"), "product_key")
+    dc = dc.select(F.col("customer_id").alias("sls_cust_id"), "customer_key")
+    j = lookup(lookup(sd, dp, "sls_prd_key", "_p_"), dc, "sls_cust_id", "_c_")
+    j = j.withColumnRenamed("_p_product_key", "product_key").withColumnRenamed(
+        "_c_customer_key", "customer_key")
     return j.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key", "customer_key",

@@ -140,6 +140,16 @@ class Warehouse:
         return analytics.top_bottom(self.product_ranked(), n)
 
 
+    # ------------------------------------------------------------ housekeeping
+    def drop_scratch(self) -> None:
+        """Delete the ranking scratch folders (every consumer reads layer tables)."""
+        from strata.operators.ranking import scratch_root
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(scratch_root(self.spark))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            fs.delete(path, True)
+
     # ------------------------------------------------------------ catalog
     def publish_catalog(self) -> list[str]:
         """Register the run's tables as ``bronze.*``, ``silver.*``, ``gold.*``.
