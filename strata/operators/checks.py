@@ -41,16 +41,19 @@ def domain(df: DataFrame, col: str, ordered: bool = False) -> DataFrame:
 def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` ON key, with dim columns renamed ``prefix + c``.
 
-    Rows with a NULL key can never match, so they skip the join instead of
-    all hashing to one reducer; the two halves are unioned back.
+    Rows with a NULL key can never match, yet a shuffle join would send all
+    of them to one reducer.  A salt is added as a second join key: a random
+    bucket for NULL-key rows, 0 for every other row and every dimension row.
+    Matches are unchanged and the NULL-key rows spread over all reducers, in
+    one scan of the fact.
     """
-    dim_cols = [F.col(c).alias(prefix + c) for c in dim.columns]
-    d = dim.select(*dim_cols)
-    matched = (fact.filter(F.col(key).isNotNull())
-               .join(d, F.col(key) == F.col(prefix + key), "left"))
-    nulls = fact.filter(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(t).alias(prefix + c) for c, t in dim.dtypes])
-    return matched.unionByName(nulls)
+    buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns],
+                   F.lit(0).alias("_lk_dsalt"))
+    f = fact.withColumn("_lk_fsalt", F.when(F.col(key).isNull(),
+                                            (F.rand(17) * buckets).cast("int")).otherwise(0))
+    cond = (F.col(key) == F.col(prefix + key)) & (F.col("_lk_fsalt") == F.col("_lk_dsalt"))
+    return f.join(d, cond, "left").drop("_lk_fsalt", "_lk_dsalt")
 
 
 def check_fk(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:

@@ -216,42 +216,60 @@ def report_bad_amount(w) -> DataFrame:
 def data_quality_report(w) -> DataFrame:
     """Every pass/fail check as (layer, check_name, violations, passed).
 
-    Row-level checks of one table are conditional counts in a single
-    aggregate over that table; key-uniqueness checks are grouped counts;
-    orphans use the null-key-splitting lookups.
+    Each table is read once: its row-level checks are conditional counts in
+    one aggregate; a key-uniqueness check on the same table rides along as
+    a grouped pre-aggregate (partial counts map-side); orphans and bad
+    amounts share one pass over the fact with its two lookups.
     """
+    def stacked(layer: str, agg: DataFrame, names: list[str]) -> DataFrame:
+        stack = ", ".join(f"'{n}', `{n}`" for n in names)
+        return agg.selectExpr(f"'{layer}' AS layer",
+                              f"stack({len(names)}, {stack}) AS (check_name, violations)")
+
     def row_checks(layer: str, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
         agg = df.agg(*[F.count_if(c).alias(n) for n, c in checks.items()])
-        stack = ", ".join(f"'{n}', `{n}`" for n in checks)
-        return agg.selectExpr(f"'{layer}' AS layer",
-                              f"stack({len(checks)}, {stack}) AS (check_name, violations)")
+        return stacked(layer, agg, list(checks))
 
-    def count_of(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("check_name"), "violations")
+    def keyed_checks(layer: str, df: DataFrame, key: str, dup_name: str,
+                     checks: dict[str, Column]) -> DataFrame:
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.count_if(c).alias(n) for n, c in checks.items()])
+        agg = per_key.agg(F.count_if(F.col("_n") > 1).alias(dup_name),
+                          *[F.sum(n).cast("long").alias(n) for n in checks])
+        return stacked(layer, agg, [dup_name, *checks])
 
+    looked = check_fk_flags(w)
     parts = [
         row_checks("bronze", w.bronze("crm_cust_info"),
                    {"null_cst_id": F.col("cst_id").isNull()}),
         row_checks("bronze", w.bronze("crm_sales_details"),
                    {"null_sls_ord_num": F.col("sls_ord_num").isNull()}),
-        count_of("silver", "duplicate_cst_id", report_dup_cust(w)),
-        row_checks("silver", w.silver("crm_cust_info"), {"cst_key_whitespace": not_trimmed("cst_key")}),
+        keyed_checks("silver", w.silver("crm_cust_info"), "cst_id", "duplicate_cst_id",
+                     {"cst_key_whitespace": not_trimmed("cst_key")}),
         row_checks("silver", w.silver("crm_prd_info"),
                    {"bad_prd_cost": bad_cost(), "prd_nm_whitespace": not_trimmed("prd_nm")}),
         row_checks("silver", w.silver("crm_sales_details"),
                    {"sales_mismatch": bad_amounts(tolerance=1),
                     "order_after_ship_or_due": bad_date_order()}),
         row_checks("silver", w.silver("erp_cust_az12"), {"bdate_out_of_range": bad_bdate(w.as_of)}),
-        count_of("gold", "duplicate_customer_key", check_customer_key_unique(w)),
-        count_of("gold", "duplicate_product_key", check_product_key_unique(w)),
-        count_of("gold", "orphan_fact_rows", orphans(w)),
-        row_checks("gold", w.gold("fact_sales"), {"bad_sales_amount": bad_amount()}),
+        keyed_checks("gold", w.gold("dim_customers"), "customer_key", "duplicate_customer_key", {}),
+        keyed_checks("gold", w.gold("dim_products"), "product_key", "duplicate_product_key", {}),
+        row_checks("gold", looked, {"orphan_fact_rows": F.col("_orphan"),
+                                    "bad_sales_amount": bad_amount()}),
     ]
     out = reduce(DataFrame.unionAll, parts)
     return out.withColumn("passed", F.col("violations") == 0)
 
 
+def check_fk_flags(w) -> DataFrame:
+    """The fact with its dimension lookups and an ``_orphan`` flag per row."""
+    from strata.operators.checks import lookup
+    f = lookup(w.gold("fact_sales"), w.gold("dim_customers").select("customer_key"),
+               "customer_key", "c_")
+    f = lookup(f, w.gold("dim_products").select("product_key"), "product_key", "p_")
+    return f.withColumn("_orphan", F.col("c_customer_key").isNull() | F.col("p_product_key").isNull())
+
+
 # ---------------------------------------------------------------- loads
 def profile_tables(w) -> DataFrame:
     """Pre-load profile of every bronze table."""
