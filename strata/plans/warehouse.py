@@ -20,7 +20,7 @@ from strata.schemas import SILVER_COLUMNS, TABLES
 from strata.session import DEFAULT_AS_OF
 from strata.sources import bronze as bronze_src
 from strata.sources.fixtures import source_table
-from strata.sources.store import LayerStore
+from strata.sources.store import LayerStore, run_concurrently
 
 # Null marker of the landing extracts written here ('' stays an empty string).
 LANDING_NULL = "\\N"
@@ -64,14 +64,17 @@ class Warehouse:
     # ------------------------------------------------------------ silver
     def load_silver(self) -> DataFrame:
         if "silver" not in self._audit:
-            rows = []
-            for table in TABLES:
+            self.load_bronze()  # prerequisites in this thread, before fanning out
+
+            def one(table: str):
                 t0 = time.time()
                 out = self.store.write(silver.build(table, self.bronze(table), self.as_of),
                                        "silver", table)
-                rows.append(("silver", table, out.count(), 0, round(time.time() - t0, 3),
-                             "loaded"))
-            self._audit["silver"] = self.spark.createDataFrame(rows, bronze_src.AUDIT_SCHEMA)
+                return ("silver", table, out.count(), 0, round(time.time() - t0, 3), "loaded")
+
+            done = run_concurrently({t: (lambda t=t: one(t)) for t in TABLES})
+            self._audit["silver"] = self.spark.createDataFrame([done[t] for t in TABLES],
+                                                               bronze_src.AUDIT_SCHEMA)
         return self._audit["silver"]
 
     def silver(self, table: str, with_load_ts: bool = False) -> DataFrame:
@@ -94,6 +97,10 @@ class Warehouse:
             return self._write_once("gold", name, lambda: gold.dim_products(
                 self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2")))
         if name == "fact_sales":
+            if not self.store.has("gold", name):
+                self.load_silver()  # prerequisites in this thread, before fanning out
+                run_concurrently({d: (lambda d=d: self.gold(d))
+                                  for d in ("dim_customers", "dim_products")})
             return self._write_once("gold", name, lambda: gold.fact_sales(
                 self.silver("crm_sales_details"), self.gold("dim_products"),
                 self.gold("dim_customers")))

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, app: str = "strata",
         SparkSession.builder.appName(app)
         .master(master or f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -52,3 +52,16 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: a durable lineage cut."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def run_concurrently(tasks: dict, max_workers: int = 6) -> dict:
+    """Run independent Spark actions from a small thread pool.
+
+    Each callable submits its own jobs; the scheduler interleaves them, so
+    small tables do not wait behind a large one.  Results keep the keys;
+    the first failure is raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
