@@ -15,15 +15,22 @@ def _asc(*cols: str) -> list[Column]:
 
 # ---------------------------------------------------------------- RFM
 def rfm_raw(fact: DataFrame, dc: DataFrame, as_of: str) -> DataFrame:
-    """Per customer: last order, days since, distinct orders, total sales."""
-    f = (fact.filter(F.col("order_date").isNotNull())
-         .select("customer_key", "order_date", "order_number", "sales_amount"))
+    """Per customer: last order, days since, distinct orders, total sales.
+
+    The fact is first reduced to one row per (customer_key, order) with a
+    map-side partial aggregate, so the join to the customer dimension sees
+    orders, not order lines.  Several keys can share one customer group
+    (ERP fan-out), so orders are still counted distinct after the join.
+    """
+    orders = (fact.filter(F.col("order_date").isNotNull())
+              .groupBy("customer_key", "order_number")
+              .agg(F.max("order_date").alias("_last"), F.sum("sales_amount").alias("_sales")))
     c = dc.select("customer_key", "customer_id", "first_name", "last_name", "country")
-    g = (f.join(c, "customer_key")
+    g = (orders.join(c, "customer_key")
          .groupBy("customer_id", "first_name", "last_name", "country")
-         .agg(F.max("order_date").alias("last_order_date"),
+         .agg(F.max("_last").alias("last_order_date"),
               F.countDistinct("order_number").alias("frequency"),
-              F.sum("sales_amount").alias("monetary")))
+              F.sum("_sales").alias("monetary")))
     return g.select(
         "customer_id", "first_name", "last_name",
         # '+' on strings: NULL when either part is NULL, hence concat (not concat_ws)
@@ -156,8 +163,10 @@ def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
     valid = fact.filter(F.col("order_date").isNotNull())
     base = sales_base(fact, dp, dc)
     orders = F.countDistinct("order_number")
+    # customer_key is unique in the dimension: a semi join keeps exactly the
+    # rows the inner join would, without carrying the dimension side.
     totals = (valid.select("customer_key", "order_number", "sales_amount", "quantity")
-              .join(dc.select("customer_key"), "customer_key")
+              .join(dc.select("customer_key"), "customer_key", "left_semi")
               .agg(F.sum("sales_amount").alias("total_revenue"),
                    int_div(F.sum("sales_amount"), orders).alias("avg_order_value"),
                    orders.alias("total_orders"),
