@@ -457,3 +457,42 @@ _q("silver_load_audit", " UNION ALL ".join(
     f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS row_count, "
     f"CAST(0 AS BIGINT) AS quarantined, 'loaded' AS status FROM s_{t}" for t in TABLES),
    [f"s_{t}" for t in TABLES])
+
+
+# ---- exact variants (decimals kept where the source engine averaged integers)
+CTES["a_product_sales_exact"] = (f"""
+SELECT p.product_name, p.category, p.subcategory, p.product_line,
+  CAST(sum(f.sales_amount) AS BIGINT) AS total_revenue,
+  CAST(sum(f.quantity) AS BIGINT) AS units_sold,
+  count(DISTINCT f.order_number) AS order_count,
+  {ratio_sql('sum(f.price)', 'count(f.price)', 2, scale=1)} AS avg_selling_price,
+  p.cost AS unit_cost
+FROM g_fact_sales f JOIN g_dim_products p ON p.product_key = f.product_key
+WHERE f.order_date IS NOT NULL
+GROUP BY p.product_name, p.category, p.subcategory, p.product_line, p.cost""",
+                                 ["g_fact_sales", "g_dim_products"])
+CTES["a_product_ranked_exact"] = (f"""
+SELECT *,
+  {ratio_sql('total_revenue', 'sum(total_revenue) OVER ()', 2)} AS pct_of_total,
+  CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS BIGINT) AS revenue_rank,
+  {ratio_sql('round(avg_selling_price * 100) - unit_cost * 100', 'round(avg_selling_price * 100)', 1)} AS est_margin_pct
+FROM a_product_sales_exact""", ["a_product_sales_exact"])
+
+_q("product_performance_exact", f"""
+SELECT 'Top 10' AS tier, {_PP_COLS} FROM a_product_ranked_exact WHERE revenue_rank <= 10
+UNION ALL
+SELECT 'Bottom 10' AS tier, {_PP_COLS} FROM a_product_ranked_exact
+WHERE revenue_rank > (SELECT count(*) FROM a_product_ranked_exact) - 10 AND total_revenue > 0
+ORDER BY tier DESC, revenue_rank""", ["a_product_ranked_exact"])
+
+_TREND_EXACT = QUERIES["revenue_trends"].replace(
+    "CAST(sum(revenue) OVER w // NULLIF(count(revenue) OVER w, 0) AS BIGINT)",
+    ratio_sql("sum(revenue) OVER w", "count(revenue) OVER w", 2, scale=1))
+assert _TREND_EXACT != QUERIES["revenue_trends"]
+QUERIES["revenue_trends_exact"] = _TREND_EXACT
+
+_KPI_EXACT = QUERIES["kpi_summary"].replace(
+    "CAST(sum(s.sales_amount) // NULLIF(count(DISTINCT s.order_number), 0) AS BIGINT)",
+    ratio_sql("sum(s.sales_amount)", "count(DISTINCT s.order_number)", 2, scale=1))
+assert _KPI_EXACT != QUERIES["kpi_summary"]
+QUERIES["kpi_summary_exact"] = _KPI_EXACT

@@ -90,12 +90,13 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
                  F.countDistinct("customer_key").alias("unique_customers")))
 
 
-def revenue_trends(monthly: DataFrame) -> DataFrame:
+def revenue_trends(monthly: DataFrame, exact: bool = False) -> DataFrame:
     """Month-over-month growth and 3-month rolling average.
 
     The input has one row per month (bounded by the calendar), so the
     unpartitioned windows here run over a handful of rows.  Months without
-    sales are not filled in: LAG and the frame count rows.
+    sales are not filled in: LAG and the frame count rows.  ``exact`` keeps
+    the decimals of the rolling average (rounded to 2) instead of truncating.
     """
     w = Window.orderBy("month_start")
     frame = w.rowsBetween(-2, 0)
@@ -106,8 +107,10 @@ def revenue_trends(monthly: DataFrame) -> DataFrame:
         "revenue", "order_count", "unique_customers",
         round_ratio(F.col("revenue") - prev, prev, 2).alias("mom_growth_pct"),
         # AVG of an integer column is an integer (truncated) in the source engine
-        int_div(F.sum("revenue").over(frame), F.count("revenue").over(frame))
-         .alias("rolling_3m_avg"))
+        (round_ratio(F.sum("revenue").over(frame), F.count("revenue").over(frame), 2, scale=1)
+         if exact else
+         int_div(F.sum("revenue").over(frame), F.count("revenue").over(frame)))
+        .alias("rolling_3m_avg"))
         .orderBy("month_start"))
 
 
@@ -159,7 +162,8 @@ def top_by_revenue(base: DataFrame, label: Column, name: str) -> DataFrame:
             .limit(1))
 
 
-def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
+def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame, exact: bool = False) -> DataFrame:
+    """The KPI row; ``exact`` keeps the decimals of the average order value."""
     valid = fact.filter(F.col("order_date").isNotNull())
     base = sales_base(fact, dp, dc)
     orders = F.countDistinct("order_number")
@@ -168,7 +172,8 @@ def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
     totals = (valid.select("customer_key", "order_number", "sales_amount", "quantity")
               .join(dc.select("customer_key"), "customer_key", "left_semi")
               .agg(F.sum("sales_amount").alias("total_revenue"),
-                   int_div(F.sum("sales_amount"), orders).alias("avg_order_value"),
+                   (round_ratio(F.sum("sales_amount"), orders, 2, scale=1) if exact
+                    else int_div(F.sum("sales_amount"), orders)).alias("avg_order_value"),
                    orders.alias("total_orders"),
                    F.countDistinct("customer_key").alias("unique_customers"),
                    round_ratio(F.sum("quantity"), orders, 1, scale=1)
@@ -183,7 +188,14 @@ def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
 PRODUCT_GROUP = ("product_name", "category", "subcategory", "product_line", "cost")
 
 
-def product_sales(fact: DataFrame, dp: DataFrame) -> DataFrame:
+def product_sales(fact: DataFrame, dp: DataFrame, exact: bool = False) -> DataFrame:
+    """Per product group: revenue, units, distinct orders, average price.
+
+    The source engine averages an integer column to an integer (truncated);
+    ``exact`` keeps two decimals instead.
+    """
+    avg_price = (round_ratio(F.sum("price"), F.count("price"), 2, scale=1) if exact
+                 else int_div(F.sum("price"), F.count("price")))
     return (fact.filter(F.col("order_date").isNotNull())
             .select("product_key", "order_number", "sales_amount", "quantity", "price")
             .join(dp.select("product_key", *PRODUCT_GROUP), "product_key")
@@ -191,12 +203,16 @@ def product_sales(fact: DataFrame, dp: DataFrame) -> DataFrame:
             .agg(F.sum("sales_amount").alias("total_revenue"),
                  F.sum("quantity").alias("units_sold"),
                  F.countDistinct("order_number").alias("order_count"),
-                 int_div(F.sum("price"), F.count("price")).alias("avg_selling_price"))
+                 avg_price.alias("avg_selling_price"))
             .withColumnRenamed("cost", "unit_cost"))
 
 
-def product_ranked(ps: DataFrame) -> DataFrame:
-    """Share of total, revenue rank (RANK semantics) and estimated margin."""
+def product_ranked(ps: DataFrame, exact: bool = False) -> DataFrame:
+    """Share of total, revenue rank (RANK semantics) and estimated margin.
+
+    With ``exact`` the average price has two decimals; the margin is then
+    computed in cents so it stays exact.
+    """
     total = ps.agg(F.sum("total_revenue")).scalar()
     ranked = global_rank(ps, ["total_revenue"], [False],
                          _asc("product_name", "category", "subcategory", "product_line",
@@ -204,8 +220,10 @@ def product_ranked(ps: DataFrame) -> DataFrame:
     return ranked.select(
         "*",
         round_ratio(F.col("total_revenue"), total, 2).alias("pct_of_total"),
-        round_ratio(F.col("avg_selling_price") - F.col("unit_cost"),
-                    F.col("avg_selling_price"), 1).alias("est_margin_pct"))
+        (round_ratio(F.round(F.col("avg_selling_price") * 100) - F.col("unit_cost") * 100,
+                     F.round(F.col("avg_selling_price") * 100), 1) if exact else
+         round_ratio(F.col("avg_selling_price") - F.col("unit_cost"),
+                     F.col("avg_selling_price"), 1)).alias("est_margin_pct"))
 
 
 def top_bottom(ranked: DataFrame, n: int = 10) -> DataFrame:

@@ -120,8 +120,8 @@ class Warehouse:
     def monthly_revenue(self) -> DataFrame:
         return analytics.monthly_revenue(self.gold("fact_sales"))
 
-    def revenue_trends(self) -> DataFrame:
-        return analytics.revenue_trends(self.monthly_revenue())
+    def revenue_trends(self, exact: bool = False) -> DataFrame:
+        return analytics.revenue_trends(self.monthly_revenue(), exact)
 
     def rfm_scores(self) -> DataFrame:
         self.rfm_segmentation()
@@ -131,20 +131,22 @@ class Warehouse:
         return analytics.sales_base(self.gold("fact_sales"), self.gold("dim_products"),
                                     self.gold("dim_customers"))
 
-    def kpi_summary(self) -> DataFrame:
+    def kpi_summary(self, exact: bool = False) -> DataFrame:
         return analytics.kpi_summary(self.gold("fact_sales"), self.gold("dim_products"),
-                                     self.gold("dim_customers"))
+                                     self.gold("dim_customers"), exact)
 
-    def product_sales(self) -> DataFrame:
-        return self._write_once("work", "product_sales", lambda: analytics.product_sales(
-            self.gold("fact_sales"), self.gold("dim_products")))
+    def product_sales(self, exact: bool = False) -> DataFrame:
+        name = "product_sales_exact" if exact else "product_sales"
+        return self._write_once("work", name, lambda: analytics.product_sales(
+            self.gold("fact_sales"), self.gold("dim_products"), exact))
 
-    def product_ranked(self) -> DataFrame:
-        return self._write_once("work", "product_ranked",
-                                lambda: analytics.product_ranked(self.product_sales()))
+    def product_ranked(self, exact: bool = False) -> DataFrame:
+        name = "product_ranked_exact" if exact else "product_ranked"
+        return self._write_once("work", name, lambda: analytics.product_ranked(
+            self.product_sales(exact), exact))
 
-    def product_performance(self, n: int = 10) -> DataFrame:
-        return analytics.top_bottom(self.product_ranked(), n)
+    def product_performance(self, n: int = 10, exact: bool = False) -> DataFrame:
+        return analytics.top_bottom(self.product_ranked(exact), n)
 
 
     # ------------------------------------------------------------ housekeeping

@@ -140,3 +140,19 @@ def test_publish_catalog(spark):
     assert n == w.gold("fact_sales").count()
     assert spark.sql("SELECT count(*) FROM bronze.crm_cust_info").first()[0] == \
         w.bronze("crm_cust_info").count()
+
+
+def test_exact_variants_keep_decimals(spark):
+    f = _fact(spark, [("SO1", 1, 1, D(2020, 1, 5), None, None, 100, 1, 3),
+                      ("SO2", 1, 1, D(2020, 2, 9), None, None, 151, 1, 4),
+                      ("SO3", 1, 2, D(2020, 3, 9), None, None, 50, 1, 4)])
+    r = analytics.revenue_trends(analytics.monthly_revenue(f), exact=True).collect()
+    assert [x.rolling_3m_avg for x in r] == [100.0, 125.5, 100.33]
+    dp = spark.createDataFrame([(1, "p", "c", "s", "l", 2)], "product_key long, product_name string, "
+                               "category string, subcategory string, product_line string, cost int")
+    ps = analytics.product_sales(f, dp, exact=True).first()
+    assert ps.avg_selling_price == 3.67
+    lit = analytics.product_sales(f, dp).first()
+    assert lit.avg_selling_price == 3                     # integer average, truncated
+    ranked = analytics.product_ranked(analytics.product_sales(f, dp, exact=True), exact=True).first()
+    assert ranked.est_margin_pct == 45.5                  # 100 * (3.67 - 2) / 3.67
