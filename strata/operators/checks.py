@@ -48,8 +48,10 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str) -> DataFrame:
     one scan of the fact.
     """
     buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The dimension's salt must stay a real join key: a literal 0 would be
+    # folded into a filter and the shuffle would hash on the key alone.
     d = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns],
-                   F.lit(0).alias("_lk_dsalt"))
+                   F.when(F.col(key).isNull(), -1).otherwise(0).alias("_lk_dsalt"))
     f = fact.withColumn("_lk_fsalt", F.when(F.col(key).isNull(),
                                             (F.rand(17) * buckets).cast("int")).otherwise(0))
     cond = (F.col(key) == F.col(prefix + key)) & (F.col("_lk_fsalt") == F.col("_lk_dsalt"))

@@ -156,3 +156,24 @@ def test_exact_variants_keep_decimals(spark):
     assert lit.avg_selling_price == 3                     # integer average, truncated
     ranked = analytics.product_ranked(analytics.product_sales(f, dp, exact=True), exact=True).first()
     assert ranked.est_margin_pct == 45.5                  # 100 * (3.67 - 2) / 3.67
+
+
+def test_lookup_salt_stays_a_join_key(spark):
+    """With broadcast off, NULL keys must spread: the salt is a shuffle key."""
+    from strata.operators.checks import lookup
+    fact = spark.range(2000).select(F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id") % 7)
+                                    .alias("k"), "id")
+    dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup(fact, dim, "k", "d_")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "_lk_fsalt" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        rows = out.collect()
+        assert len(rows) == 2000
+        assert all((r.d_v is None) == (r.k is None) for r in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
