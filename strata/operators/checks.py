@@ -42,18 +42,23 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` ON key, with dim columns renamed ``prefix + c``.
 
     Rows with a NULL key can never match, yet a shuffle join would send all
-    of them to one reducer.  A salt is added as a second join key: a random
-    bucket for NULL-key rows, 0 for every other row and every dimension row.
-    Matches are unchanged and the NULL-key rows spread over all reducers, in
-    one scan of the fact.
+    of them to one reducer.  A salt is added as a second join key: a bucket
+    hashed from the row's own columns for NULL-key rows, 0 for every other
+    row and every dimension row.  Matches are unchanged and the NULL-key
+    rows spread over all reducers, in one scan of the fact.  The salt is a
+    pure function of the row, so a recomputed task sends every row where
+    the first attempt did (no indeterminate shuffle); exact copies share a
+    bucket, which AQE's skew-join split covers.
     """
     buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The dimension's salt must stay a real join key: a literal 0 would be
     # folded into a filter and the shuffle would hash on the key alone.
     d = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns],
                    F.when(F.col(key).isNull(), -1).otherwise(0).alias("_lk_dsalt"))
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     f = fact.withColumn("_lk_fsalt", F.when(F.col(key).isNull(),
-                                            (F.rand(17) * buckets).cast("int")).otherwise(0))
+                                            F.pmod(row_hash, F.lit(buckets)).cast("int"))
+                        .otherwise(0))
     cond = (F.col(key) == F.col(prefix + key)) & (F.col("_lk_fsalt") == F.col("_lk_dsalt"))
     return f.join(d, cond, "left").drop("_lk_fsalt", "_lk_dsalt")
 

@@ -68,3 +68,17 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "id long, a int")
     assert global_row_number(df, [F.col("id").asc()]).count() == 0
     assert global_ntile(df, 5, [F.col("id").asc()], "t").count() == 0
+
+
+def test_drop_scratch_removes_ranking_intermediates(spark):
+    import os
+
+    from strata.operators.ranking import scratch_root
+    from strata.plans.warehouse import Warehouse
+    df = spark.range(50).withColumnRenamed("id", "k")
+    assert global_row_number(df, [F.col("k").asc()]).count() == 50
+    root = scratch_root(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    assert os.path.isdir(local) and os.listdir(local)
+    Warehouse(spark, "/root/testdata/sf0.001").drop_scratch()
+    assert not os.path.exists(local)
