@@ -32,9 +32,8 @@ def main() -> None:
         ("land_csv", w.land),
         ("load_bronze", w.load_bronze),
         ("load_silver", w.load_silver),
-        ("gold_dim_customers", lambda: w.gold("dim_customers")),
-        ("gold_dim_products", lambda: w.gold("dim_products")),
-        ("gold_fact_sales", lambda: w.gold("fact_sales")),
+        # both dimensions (concurrently), then the fact that looks them up
+        ("build_gold", lambda: w.gold("fact_sales")),
         ("revenue_trends", lambda: run(w.revenue_trends())),
         ("rfm_segmentation", lambda: run(w.rfm_segmentation())),
         ("kpi_summary", lambda: run(w.kpi_summary())),
