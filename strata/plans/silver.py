@@ -93,12 +93,16 @@ def erp_px_cat_g1v2(b: DataFrame) -> DataFrame:
     return b.select("id", "cat", "subcat", "maintenance")
 
 
-def build(table: str, bronze: DataFrame, as_of: str) -> DataFrame:
-    """Silver rows of ``table`` plus the load timestamp column."""
+def build(table: str, bronze: DataFrame, as_of: str, strict: bool = False) -> DataFrame:
+    """Silver rows of ``table`` plus the load timestamp column.
+
+    ``strict`` makes an eight-digit date that is no calendar date fail the
+    load instead of becoming NULL.
+    """
     rules = {
         "crm_cust_info": crm_cust_info,
         "crm_prd_info": crm_prd_info,
-        "crm_sales_details": crm_sales_details,
+        "crm_sales_details": lambda b: crm_sales_details(b, strict),
         "erp_cust_az12": lambda b: erp_cust_az12(b, as_of),
         "erp_loc_a101": erp_loc_a101,
         "erp_px_cat_g1v2": erp_px_cat_g1v2,

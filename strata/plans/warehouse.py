@@ -28,10 +28,11 @@ LANDING_NULL = "\\N"
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
-                 store: LayerStore | None = None):
+                 store: LayerStore | None = None, strict: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.strict = strict
         self.store = store or LayerStore(spark)
         self.landing_dir = f"{self.store.root}/landing"
         self._audit: dict[str, DataFrame] = {}
@@ -68,8 +69,9 @@ class Warehouse:
 
             def one(table: str):
                 t0 = time.time()
-                out = self.store.write(silver.build(table, self.bronze(table), self.as_of),
-                                       "silver", table)
+                out = self.store.write(
+                    silver.build(table, self.bronze(table), self.as_of, self.strict),
+                    "silver", table)
                 return ("silver", table, out.count(), 0, round(time.time() - t0, 3), "loaded")
 
             done = run_concurrently({t: (lambda t=t: one(t)) for t in TABLES})
