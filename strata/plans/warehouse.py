@@ -27,7 +27,7 @@ LANDING_NULL = "\\N"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
+    def __init__(self, spark: SparkSession, sf_dir: str | None, as_of: str = DEFAULT_AS_OF,
                  store: LayerStore | None = None, strict: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -35,8 +35,22 @@ class Warehouse:
         self.strict = strict
         self.store = store or LayerStore(spark)
         self.landing_dir = f"{self.store.root}/landing"
+        self.null_value = LANDING_NULL
         self._audit: dict[str, DataFrame] = {}
-        self._derived: dict[str, DataFrame] = {}
+
+    @classmethod
+    def from_csv(cls, spark: SparkSession, landing_dir: str, as_of: str = DEFAULT_AS_OF,
+                 null_value: str = "", strict: bool = False) -> "Warehouse":
+        """A run over existing extracts (``source_crm/…``, ``source_erp/…``).
+
+        An empty field is NULL by default (``null_value=""``); the text
+        ``n/a`` stays text.
+        """
+        w = cls(spark, None, as_of, strict=strict)
+        w.landing_dir = landing_dir.rstrip("/")
+        w.null_value = null_value
+        w._audit["landed"] = None
+        return w
 
     # ------------------------------------------------------------ sources
     def land(self) -> None:
@@ -51,7 +65,7 @@ class Warehouse:
         if "bronze" not in self._audit:
             self.land()
             self._audit["bronze"] = bronze_src.load_bronze(self.store, self.landing_dir,
-                                                           LANDING_NULL)
+                                                           self.null_value)
         return self._audit["bronze"]
 
     def bronze(self, table: str) -> DataFrame:
