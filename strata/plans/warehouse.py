@@ -13,7 +13,6 @@ import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.plans import analytics, gold, silver
 from strata.schemas import SILVER_COLUMNS, TABLES
@@ -215,7 +214,3 @@ def warehouse(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> W
         _RUNS[key] = Warehouse(spark, sf_dir, as_of)
     return _RUNS[key]
 
-
-def as_long(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("long").alias(c) if c in cols else F.col(c)
-                       for c in df.columns])

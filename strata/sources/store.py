@@ -43,10 +43,6 @@ class LayerStore:
     def has(self, layer: str, table: str) -> bool:
         return (layer, table) in self._tables
 
-    def scratch(self, name: str) -> str:
-        """A fresh folder for an intermediate result (lineage cut)."""
-        return f"{self.root}/_work/{name}-{uuid.uuid4().hex[:8]}"
-
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: a durable lineage cut."""

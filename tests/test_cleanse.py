@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.cleanse import (
-    ERP_GENDER, MARITAL, map_codes, normalize_country, null_after, parse_int_date,
-    reconcile_sales, repair_price, round_ratio, strip_prefix,
+    ERP_GENDER, MARITAL, map_codes, normalize_country, null_after, parse_int_date, round_ratio,
+    strip_prefix,
 )
 from strata.plans import silver
 
