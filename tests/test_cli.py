@@ -1,0 +1,17 @@
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_cli_runs_pipeline(tmpdir_path):
+    out = os.path.join(tmpdir_path, "out")
+    proc = subprocess.run(
+        [sys.executable, "-m", "strata", "--sf-dir", "/root/testdata/sf0.001", "--out", out],
+        cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert "published: bronze.crm_cust_info" in proc.stdout
+    assert "orphan_fact_rows" in proc.stdout
+    assert sorted(os.listdir(out)) == ["kpi_summary", "product_performance", "revenue_trends",
+                                       "rfm_segmentation"]
