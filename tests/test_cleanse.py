@@ -77,3 +77,21 @@ def test_round_ratio_matches_decimal(spark):
     got = df.select("n", "d", round_ratio(F.col("n"), F.col("d"), 2).alias("r")).collect()
     for r in got:
         assert r.r == _py_round_ratio(r.n, r.d, 2), (r.n, r.d, r.r)
+
+
+def test_parse_int_date_matches_text_parse(spark):
+    """The arithmetic path equals the text rule on random and edge values."""
+    import random
+    rnd = random.Random(11)
+    vals = [rnd.randint(-10**8, 10**8) for _ in range(3000)]
+    vals += [rnd.randint(10000101, 99991231) for _ in range(3000)]
+    vals += [y * 10000 + m * 100 + d for y in (1900, 2000, 2023, 2024, 9999)
+             for m in (0, 1, 2, 12, 13) for d in (0, 1, 28, 29, 30, 31, 32)]
+    vals += [None, 0, 10000000, 99999999, -10000000, 2147483647, -2147483648]
+    df = spark.createDataFrame([(v,) for v in vals], "v int")
+    text = F.col("v").cast("string")
+    ref = F.when((F.col("v") == 0) | (F.length(text) != 8), F.lit(None).cast("date")).otherwise(
+        F.try_to_date(text, "yyyyMMdd"))
+    bad = df.select(parse_int_date("v").alias("a"), ref.alias("b")).filter(
+        ~F.col("a").eqNullSafe(F.col("b"))).count()
+    assert bad == 0
