@@ -103,7 +103,7 @@ def revenue_trends(monthly: DataFrame, exact: bool = False) -> DataFrame:
     prev = F.lag("revenue").over(w)
     return (monthly.select(
         "month_start",
-        F.date_format("month_start", "MMM yyyy").alias("month_label"),
+        month_label(F.col("month_start")).alias("month_label"),
         "revenue", "order_count", "unique_customers",
         round_ratio(F.col("revenue") - prev, prev, 2).alias("mom_growth_pct"),
         # AVG of an integer column is an integer (truncated) in the source engine
@@ -115,7 +115,7 @@ def revenue_trends(monthly: DataFrame, exact: bool = False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- KPI row
-# grouping_id() of each set below, with columns (month_label, product_name, country)
+# grouping_id() of each set below, with columns (month_start, product_name, country)
 _TOP_SETS = {"best_sales_month": 3, "top_product": 5, "top_country": 6}
 
 
@@ -127,12 +127,12 @@ def top_labels(base: DataFrame) -> DataFrame:
     filter, planned as a partial WindowGroupLimit before its shuffle.  Ties
     go to the smallest label.  One row with three columns (NULL when empty).
     """
-    labelled = base.select(F.date_format("order_date", "MMM yyyy").alias("month_label"),
-                           "product_name", "country", "sales_amount")
-    g = (labelled.groupingSets([["month_label"], ["product_name"], ["country"]],
-                               "month_label", "product_name", "country")
+    keyed = base.select(F.trunc("order_date", "MM").alias("month_start"),
+                        "product_name", "country", "sales_amount")
+    g = (keyed.groupingSets([["month_start"], ["product_name"], ["country"]],
+                            "month_start", "product_name", "country")
          .agg(F.sum("sales_amount").alias("_rev"), F.grouping_id().alias("_gid")))
-    label = (F.when(F.col("_gid") == 3, F.col("month_label"))
+    label = (F.when(F.col("_gid") == 3, month_label(F.col("month_start")))
              .when(F.col("_gid") == 5, F.col("product_name")).otherwise(F.col("country")))
     w = Window.partitionBy("_gid").orderBy(F.col("_rev").desc_nulls_last(),
                                            F.col("_label").asc_nulls_first())
@@ -151,14 +151,22 @@ def sales_base(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
             .join(dc.select("customer_key", "country"), "customer_key"))
 
 
-def top_by_revenue(base: DataFrame, label: Column, name: str) -> DataFrame:
+def month_label(month_start: Column) -> Column:
+    """'Jan 2001' for a month.  Format after aggregating by ``trunc(d, 'MM')``:
+    one label per month instead of one formatter call per sales row."""
+    return F.date_format(month_start, "MMM yyyy")
+
+
+def top_by_revenue(base: DataFrame, key: Column, name: str, label=None) -> DataFrame:
     """TOP 1 ``name`` by summed sales with its revenue (ties: smallest label).
 
     A grouped sum then ``orderBy(...).limit(1)``: planned as a per-task top-1
-    (TakeOrderedAndProject), never a global sort.
+    (TakeOrderedAndProject), never a global sort.  ``label`` maps the
+    grouping key to the reported value after aggregation (1:1).
     """
-    return (base.groupBy(label.alias(name)).agg(F.sum("sales_amount").alias("rev"))
-            .orderBy(F.col("rev").desc_nulls_last(), F.col(name).asc_nulls_first())
+    g = base.groupBy(key.alias("_key")).agg(F.sum("sales_amount").alias("rev"))
+    g = g.select((label(F.col("_key")) if label else F.col("_key")).alias(name), "rev")
+    return (g.orderBy(F.col("rev").desc_nulls_last(), F.col(name).asc_nulls_first())
             .limit(1))
 
 
