@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.checks import (
-    check_fk, check_trimmed, check_unique, domain, not_trimmed, profile,
+    check_fk, check_trimmed, check_unique, domain, lookup, not_trimmed, profile,
 )
 from strata.schemas import SILVER_COLUMNS, TABLES
 
@@ -263,7 +263,6 @@ def data_quality_report(w) -> DataFrame:
 
 def check_fk_flags(w) -> DataFrame:
     """The fact with its dimension lookups and an ``_orphan`` flag per row."""
-    from strata.operators.checks import lookup
     f = lookup(w.gold("fact_sales"), w.gold("dim_customers").select("customer_key"),
                "customer_key", "c_")
     f = lookup(f, w.gold("dim_products").select("product_key"), "product_key", "p_")

@@ -32,6 +32,10 @@ def build_session(master: str | None = None, app: str = "strata",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.driver.memory", "16g")
     )
+    log_dir = os.environ.get("STRATA_EVENT_LOG_DIR")
+    if log_dir:  # stage/task timings for tools/stage_report.py
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
