@@ -177,3 +177,35 @@ def test_lookup_salt_stays_a_join_key(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_rfm_segment_branches_first_match_wins(spark):
+    rows = [  # (id, r, f, m) -> expected segment
+        (1, 5, 5, 5, "Champions"),   # 15
+        (2, 5, 4, 4, "Champions"),   # 13
+        (3, 2, 4, 4, "Loyal"),       # 10, also r<=2 & f>=3: Loyal wins (earlier branch)
+        (4, 2, 3, 2, "At Risk"),     # 7
+        (5, 1, 3, 1, "At Risk"),     # 5: At Risk before Lost
+        (6, 3, 2, 1, "Lost"),        # 6
+        (7, 3, 2, 2, "Potential"),   # 7, r > 2
+        (8, 1, 2, 4, "Potential"),   # 7, f < 3
+    ]
+    df = spark.createDataFrame(
+        [(i, f"n{i}", "c", D(2020, 1, 1), 1, 1, 100, r, f, m) for i, r, f, m, _ in rows],
+        "customer_id int, customer_name string, country string, last_order_date date, "
+        "recency_days long, frequency long, monetary long, r_score long, f_score long, m_score long")
+    got = {r.customer_id: r.segment for r in analytics.rfm_segments(df).collect()}
+    assert got == {i: seg for i, _, _, _, seg in rows}
+
+
+def test_empty_input_gives_empty_reports(spark):
+    f = _fact(spark, [])
+    dc = spark.createDataFrame([], "customer_key long, customer_id int, first_name string, "
+                               "last_name string, country string")
+    dp = spark.createDataFrame([], "product_key long, product_name string, category string, "
+                               "subcategory string, product_line string, cost int")
+    assert analytics.revenue_trends(analytics.monthly_revenue(f)).count() == 0
+    raw = analytics.rfm_raw(f, dc, "2026-01-01")
+    assert analytics.rfm_segments(analytics.rfm_scores(raw)).count() == 0
+    ps = analytics.product_sales(f, dp)
+    assert analytics.top_bottom(analytics.product_ranked(ps)).count() == 0
