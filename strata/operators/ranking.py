@@ -121,3 +121,42 @@ def next_in_sequence(df: DataFrame, group: str, order: list[Column], cols: list[
     for c in cols:
         joined = joined.withColumn(f"{prefix}{c}", F.when(same, F.col(f"_nx_{c}")))
     return joined.drop("_nx_rn", "_nx_group", *[f"_nx_{c}" for c in cols])
+
+
+def multi_ntile(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]],
+                unique: list[str]) -> DataFrame:
+    """Several NTILE(tiles) columns over integer keys with one range shuffle.
+
+    ``keys`` maps an output name to (integer column, ascending); ascending
+    puts NULLs first, descending puts them last.  ``unique`` is a key of
+    ``df`` and breaks ties in every order.  Each row is stacked once per
+    output (score type, NULL flag, signed key), one global row numbering
+    ranks all stacks together (each stack holds exactly N rows, so the
+    position inside stack t is rn - t * N), and one grouped aggregate on
+    ``unique`` folds the tiles back onto the row (the other columns depend
+    on ``unique``, so their max is the row's value).
+    """
+    entries = []
+    for i, (col, asc) in enumerate(keys.values()):
+        c = F.col(col).cast("long")
+        null_flag = F.when(c.isNull(), 0 if asc else 1).otherwise(1 if asc else 0)
+        entries.append(F.struct(F.lit(i).alias("_mt_t"), null_flag.alias("_mt_f"),
+                                (c if asc else -c).alias("_mt_k")))
+    stacked = (df.select("*", F.explode(F.array(*entries)).alias("_mt"))
+               .select(*df.columns, "_mt._mt_t", "_mt._mt_f", "_mt._mt_k"))
+    order = ([F.col("_mt_t").asc(), F.col("_mt_f").asc(), F.col("_mt_k").asc_nulls_first()]
+             + [F.col(u).asc_nulls_first() for u in unique])
+    ranked = global_row_number(stacked, order, out="_mt_rn", keep_total=True, name="multi_ntile")
+    n = F.call_function("div", F.col(_TOTAL), F.lit(len(keys)))
+    rn = F.col("_mt_rn") - F.col("_mt_t") * n
+    q = F.call_function("div", n, F.lit(tiles))
+    r = n % tiles
+    big = r * (q + 1)
+    tile = (F.when(rn <= big, F.call_function("div", rn - 1, q + 1) + 1)
+            .otherwise(r + F.call_function("div", rn - 1 - big, F.nullif(q, F.lit(0))) + 1))
+    rest = [c for c in df.columns if c not in unique]
+    folded = (ranked.groupBy(*unique)
+              .agg(*[F.max(c).alias(c) for c in rest],
+                   *[F.max(F.when(F.col("_mt_t") == i, tile)).cast("long").alias(name)
+                     for i, name in enumerate(keys)]))
+    return folded.select(*df.columns, *keys)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.cleanse import int_div, round_ratio
-from strata.operators.ranking import global_ntile, global_rank
+from strata.operators.ranking import global_rank, multi_ntile
 
 
 def _asc(*cols: str) -> list[Column]:
@@ -49,21 +49,17 @@ def rfm_scores(raw: DataFrame, best_high: bool = False) -> DataFrame:
     """NTILE(5) on recency, frequency and monetary over all customers.
 
     Literal order: tile 1 = most recent / most frequent / highest spend.
-    ``best_high`` reverses the three orders so that 5 is best.
+    ``best_high`` reverses the three orders so that 5 is best.  The three
+    rankings share one range shuffle (``multi_ntile``); ties are broken by
+    the group key of rfm_raw.
     """
-    tie = _asc(*RFM_TIEBREAK)
     if best_high:
-        orders = {"r_score": F.col("recency_days").desc_nulls_last(),
-                  "f_score": F.col("frequency").asc_nulls_first(),
-                  "m_score": F.col("monetary").asc_nulls_first()}
+        keys = {"r_score": ("recency_days", False), "f_score": ("frequency", True),
+                "m_score": ("monetary", True)}
     else:
-        orders = {"r_score": F.col("recency_days").asc_nulls_first(),
-                  "f_score": F.col("frequency").desc_nulls_last(),
-                  "m_score": F.col("monetary").desc_nulls_last()}
-    out = raw
-    for name, order in orders.items():
-        out = global_ntile(out, 5, [order] + tie, name)
-    return out
+        keys = {"r_score": ("recency_days", True), "f_score": ("frequency", False),
+                "m_score": ("monetary", False)}
+    return multi_ntile(raw, 5, keys, list(RFM_TIEBREAK))
 
 
 def rfm_segments(scored: DataFrame) -> DataFrame:

@@ -82,3 +82,22 @@ def test_drop_scratch_removes_ranking_intermediates(spark):
     assert os.path.isdir(local) and os.listdir(local)
     Warehouse(spark, "/root/testdata/sf0.001").drop_scratch()
     assert not os.path.exists(local)
+
+
+def test_multi_ntile_matches_windows(spark):
+    from strata.operators.ranking import multi_ntile
+    import random as _r
+    rnd = _r.Random(5)
+    rows = [(i, f"n{i % 7}", rnd.choice([None, 1, 2, 3]), rnd.randint(0, 4),
+             rnd.choice([None, *range(10)])) for i in range(157)]
+    df = spark.createDataFrame(rows, "id long, nm string, a int, b long, c long")
+    keys = {"ta": ("a", True), "tb": ("b", False), "tc": ("c", False)}
+    got = multi_ntile(df, 5, keys, ["id", "nm"])
+    assert got.count() == len(rows) and got.columns == df.columns + list(keys)
+    exp = df
+    for name, (col, asc) in keys.items():
+        o = F.col(col).asc_nulls_first() if asc else F.col(col).desc_nulls_last()
+        exp = exp.withColumn("e_" + name, F.ntile(5).over(Window.orderBy(o, F.col("id"), F.col("nm"))))
+    j = got.join(exp.select("id", *["e_" + k for k in keys]), "id")
+    for name in keys:
+        assert j.filter(F.col(name) != F.col("e_" + name)).count() == 0
