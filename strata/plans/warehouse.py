@@ -10,6 +10,7 @@ its own tasks.
 from __future__ import annotations
 
 import os
+import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,18 @@ class Warehouse:
         self.landing_dir = f"{self.store.root}/landing"
         self.null_value = LANDING_NULL
         self._audit: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._locks_guard = threading.Lock()
+
+    def _lock(self, name: str) -> threading.Lock:
+        """One lock per layer or table: concurrent callers build each once.
+
+        Keyed per table, so the fan-out threads of one build (which only
+        touch other, already-loaded or independent tables) never wait on
+        the lock their caller holds.
+        """
+        with self._locks_guard:
+            return self._locks.setdefault(name, threading.Lock())
 
     @classmethod
     def from_csv(cls, spark: SparkSession, landing_dir: str, as_of: str = DEFAULT_AS_OF,
@@ -56,15 +69,19 @@ class Warehouse:
         """Write the six source extracts as CSV files (the warehouse's input)."""
         if "landed" in self._audit:
             return
-        tables = {t: source_table(self.spark, self.sf_dir, t) for t in TABLES}
-        bronze_src.land_sources(self.spark, tables, self.landing_dir, LANDING_NULL)
-        self._audit["landed"] = None
+        with self._lock("landed"):
+            if "landed" not in self._audit:
+                tables = {t: source_table(self.spark, self.sf_dir, t) for t in TABLES}
+                bronze_src.land_sources(self.spark, tables, self.landing_dir, LANDING_NULL)
+                self._audit["landed"] = None
 
     def load_bronze(self) -> DataFrame:
         if "bronze" not in self._audit:
-            self.land()
-            self._audit["bronze"] = bronze_src.load_bronze(self.store, self.landing_dir,
-                                                           self.null_value)
+            with self._lock("bronze"):
+                if "bronze" not in self._audit:
+                    self.land()
+                    self._audit["bronze"] = bronze_src.load_bronze(
+                        self.store, self.landing_dir, self.null_value)
         return self._audit["bronze"]
 
     def bronze(self, table: str) -> DataFrame:
@@ -77,7 +94,11 @@ class Warehouse:
 
     # ------------------------------------------------------------ silver
     def load_silver(self) -> DataFrame:
-        if "silver" not in self._audit:
+        if "silver" in self._audit:
+            return self._audit["silver"]
+        with self._lock("silver"):
+            if "silver" in self._audit:
+                return self._audit["silver"]
             self.load_bronze()  # prerequisites in this thread, before fanning out
 
             def one(table: str):
@@ -100,7 +121,9 @@ class Warehouse:
     # ------------------------------------------------------------ gold
     def _write_once(self, layer: str, name: str, build) -> DataFrame:
         if not self.store.has(layer, name):
-            self.store.write(build(), layer, name)
+            with self._lock(f"{layer}/{name}"):
+                if not self.store.has(layer, name):
+                    self.store.write(build(), layer, name)
         return self.store.read(layer, name)
 
     def gold(self, name: str) -> DataFrame:
@@ -205,12 +228,14 @@ class Warehouse:
 
 
 _RUNS: dict[tuple, Warehouse] = {}
+_RUNS_LOCK = threading.Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Warehouse:
     """The run for (session, input folder, as-of date), built on first use."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), as_of)
-    if key not in _RUNS:
-        _RUNS[key] = Warehouse(spark, sf_dir, as_of)
-    return _RUNS[key]
+    with _RUNS_LOCK:
+        if key not in _RUNS:
+            _RUNS[key] = Warehouse(spark, sf_dir, as_of)
+        return _RUNS[key]
 

@@ -209,3 +209,25 @@ def test_empty_input_gives_empty_reports(spark):
     assert analytics.rfm_segments(analytics.rfm_scores(raw)).count() == 0
     ps = analytics.product_sales(f, dp)
     assert analytics.top_bottom(analytics.product_ranked(ps)).count() == 0
+
+
+def test_concurrent_callers_build_each_layer_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from strata.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    writes = []
+    original = w.store.write
+
+    def counting_write(df, layer, table, partition_by=None):
+        writes.append((layer, table))
+        return original(df, layer, table, partition_by)
+
+    w.store.write = counting_write
+    jobs = [lambda: w.revenue_trends().count(), lambda: w.kpi_summary().count(),
+            lambda: w.rfm_segmentation().count(), lambda: w.product_performance().count(),
+            lambda: w.gold("dim_customers").count(), lambda: w.silver("crm_prd_info").count()]
+    with ThreadPoolExecutor(6) as pool:
+        counts = [f.result() for f in [pool.submit(j) for j in jobs]]
+    assert counts[0] == 80 and counts[1] == 1
+    assert len(writes) == len(set(writes)), sorted(writes)
