@@ -33,12 +33,17 @@ def main() -> None:
     top = int(sys.argv[2]) if len(sys.argv) > 2 else 15
     tasks = defaultdict(list)
     names = {}
+    desc = {}
     for line in _lines(path):
         ev = json.loads(line)
         kind = ev.get("Event")
         if kind == "SparkListenerTaskEnd":
             info = ev["Task Info"]
             tasks[ev["Stage ID"]].append(info["Finish Time"] - info["Launch Time"])
+        elif kind == "SparkListenerJobStart":
+            d = (ev.get("Properties") or {}).get("spark.job.description", "")
+            for sid in ev.get("Stage IDs", []):
+                desc[sid] = d
         elif kind == "SparkListenerStageCompleted":
             st = ev["Stage Info"]
             names[st["Stage ID"]] = st["Stage Name"].split(" at ")[0]
@@ -51,10 +56,12 @@ def main() -> None:
     print(f"stages={len(rows)} tasks={sum(r[2] for r in rows)} task_ms_total={total}")
     print(f"{'stage':>5} {'tasks':>5} {'sum_ms':>8} {'median':>7} {'max':>6} {'max/med':>7}  name")
     for tot, sid, n, med, mx, ratio in rows[:top]:
-        print(f"{sid:>5} {n:>5} {tot:>8} {med:>7.0f} {mx:>6} {ratio:>7.1f}  {names.get(sid, '')}")
+        label = desc.get(sid) or names.get(sid, "")
+        print(f"{sid:>5} {n:>5} {tot:>8} {med:>7.0f} {mx:>6} {ratio:>7.1f}  {label[:60]}")
     worst = max((r for r in rows if r[2] >= 4), key=lambda r: r[5], default=None)
     if worst:
-        print(f"most uneven stage with >=4 tasks: {worst[1]} max/median={worst[5]:.1f}")
+        print(f"most uneven stage with >=4 tasks: {worst[1]} max/median={worst[5]:.1f} "
+              f"({desc.get(worst[1], '')})")
 
 
 if __name__ == "__main__":
