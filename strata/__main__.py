@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--null-value", default="", help="NULL marker in the extracts")
     ap.add_argument("--strict", action="store_true", help="fail on impossible yyyymmdd dates")
     ap.add_argument("--out", help="write analytics results as parquet under this folder")
+    ap.add_argument("--keep-runs", type=int, default=0,
+                    help="after publishing, keep only the newest N run folders (0: keep all)")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -36,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     w.load_bronze().show(truncate=False)
     w.load_silver().show(truncate=False)
     print("published:", ", ".join(w.publish_catalog()))
+    if args.keep_runs:
+        print("retired:", len(w.store.retire_older_runs(args.keep_runs)), "older run(s)")
     quality.data_quality_report(w).show(50, truncate=False)
     w.kpi_summary().show(truncate=False)
     if args.out:

@@ -43,6 +43,30 @@ class LayerStore:
     def has(self, layer: str, table: str) -> bool:
         return (layer, table) in self._tables
 
+    def retire_older_runs(self, keep: int = 1) -> list[str]:
+        """Delete earlier run folders, keeping the newest ``keep`` (this run included).
+
+        The counterpart of the source's TRUNCATE: the new run is published
+        first, then older copies go.  Uses the Hadoop FileSystem of the
+        checkpoint root, so it works on HDFS and object stores alike.
+        """
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        parent = jvm.org.apache.hadoop.fs.Path(self.root.rsplit("/", 1)[0])
+        fs = parent.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(parent):
+            return []
+        runs = [st for st in fs.listStatus(parent)
+                if st.isDirectory() and st.getPath().getName().startswith("run-")]
+        mine = f"run-{self.run_id}"
+        others = sorted((st for st in runs if st.getPath().getName() != mine),
+                        key=lambda st: st.getModificationTime(), reverse=True)
+        dropped = []
+        for st in others[max(keep - 1, 0):]:
+            fs.delete(st.getPath(), True)
+            dropped.append(st.getPath().toString())
+        return dropped
+
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: a durable lineage cut."""

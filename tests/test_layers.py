@@ -231,3 +231,18 @@ def test_concurrent_callers_build_each_layer_once(spark):
         counts = [f.result() for f in [pool.submit(j) for j in jobs]]
     assert counts[0] == 80 and counts[1] == 1
     assert len(writes) == len(set(writes)), sorted(writes)
+
+
+def test_retire_older_runs(spark, tmpdir_path):
+    import os
+
+    from strata.sources.store import LayerStore
+    root = os.path.join(tmpdir_path, "ckpt")
+    stores = [LayerStore(spark, root=root) for _ in range(3)]
+    for i, st in enumerate(stores):
+        st.write(spark.range(3), "silver", "t")
+    runs = lambda: sorted(os.listdir(os.path.join(root, "strata")))
+    assert len(runs()) == 3
+    stores[-1].retire_older_runs(keep=2)
+    assert len(runs()) == 2 and f"run-{stores[-1].run_id}" in runs()
+    assert stores[-1].read("silver", "t").count() == 3
