@@ -67,7 +67,8 @@ def fact_sales(sd: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
     """Sales with surrogate keys looked up by business key (left joins).
 
     Shuffle joins when the dimensions are large (AQE splits a hot key on the
-    sales side); rows whose business key is NULL bypass the join.
+    sales side); rows whose business key is NULL carry a hashed salt so
+    they spread over reducers instead of piling onto one (``lookup``).
     """
     dp = dp.select(F.col("product_number").alias("sls_prd_key"), "product_key")
     dc = dc.select(F.col("customer_id").alias("sls_cust_id"), "customer_key")
