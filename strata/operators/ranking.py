@@ -106,21 +106,35 @@ def global_rank(df: DataFrame, keys: list[str], ascending: list[bool],
 
 
 def next_in_sequence(df: DataFrame, group: str, order: list[Column], cols: list[str],
-                     prefix: str = "next_") -> DataFrame:
+                     prefix: str = "next_", chunk_rows: int = 1_000_000) -> DataFrame:
     """LEAD(col) OVER (PARTITION BY group ORDER BY order) for each of ``cols``.
 
-    Built from global row numbers over (group, order) and an equi-join of
-    row n with row n + 1, so one huge group never lands in a single task.
+    Rows get global row numbers over (group, order), so one huge group
+    never lands in a single task.  LEAD is then taken inside fixed chunks
+    of ``chunk_rows`` consecutive row numbers (a window whose partitions are
+    bounded by construction).  Only the last row of a chunk needs the first
+    row of the next chunk; those firsts form a table of one row per chunk,
+    broadcast to patch them.  The result is one shuffle, not a two-sided join.
     """
     seq = global_row_number(df, [F.col(group).asc_nulls_first()] + order, out="_nx_rn",
                             name="lead")
-    nxt = seq.select((F.col("_nx_rn") - 1).alias("_nx_rn"), F.col(group).alias("_nx_group"),
-                     *[F.col(c).alias(f"_nx_{c}") for c in cols])
-    joined = seq.join(nxt, "_nx_rn", "left")
-    same = F.col("_nx_group").eqNullSafe(F.col(group))
+    rn = F.col("_nx_rn")
+    seq = seq.withColumn("_nx_chunk", F.call_function("div", rn - 1, F.lit(chunk_rows)))
+    w = Window.partitionBy("_nx_chunk").orderBy("_nx_rn")
+    within = seq.select("*", F.lead(group).over(w).alias("_nx_group"),
+                        *[F.lead(c).over(w).alias(f"_nx_{c}") for c in cols])
+    firsts = (seq.filter((rn - 1) % chunk_rows == 0)
+              .select((rn - 1).alias("_nx_prev"), F.col(group).alias("_nx_pgroup"),
+                      *[F.col(c).alias(f"_nx_p{c}") for c in cols]))
+    joined = within.join(F.broadcast(firsts), within["_nx_rn"] == firsts["_nx_prev"], "left")
+    last = rn % chunk_rows == 0
+    nxt_group = F.when(last, F.col("_nx_pgroup")).otherwise(F.col("_nx_group"))
+    same = nxt_group.eqNullSafe(F.col(group))
     for c in cols:
-        joined = joined.withColumn(f"{prefix}{c}", F.when(same, F.col(f"_nx_{c}")))
-    return joined.drop("_nx_rn", "_nx_group", *[f"_nx_{c}" for c in cols])
+        nxt = F.when(last, F.col(f"_nx_p{c}")).otherwise(F.col(f"_nx_{c}"))
+        joined = joined.withColumn(f"{prefix}{c}", F.when(same, nxt))
+    return joined.drop("_nx_rn", "_nx_chunk", "_nx_group", "_nx_prev", "_nx_pgroup",
+                       *[f"_nx_{c}" for c in cols], *[f"_nx_p{c}" for c in cols])
 
 
 def multi_ntile(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]],

@@ -57,11 +57,14 @@ def test_lead_matches_window(spark):
     df = _frame(spark, hot=True)
     w = Window.partitionBy("a").orderBy(F.col("v").asc_nulls_first(), F.col("id").asc())
     exp = df.withColumn("exp", F.lead("v").over(w))
-    got = next_in_sequence(df, "a", [F.col("v").asc_nulls_first(), F.col("id").asc()], ["v"])
-    assert got.count() == df.count()
-    bad = got.join(exp.select("id", "exp"), "id").filter(
-        ~F.col("next_v").eqNullSafe(F.col("exp"))).count()
-    assert bad == 0
+    # tiny chunks put many group and chunk boundaries next to each other
+    for chunk in (1_000_000, 7, 2, 1):
+        got = next_in_sequence(df, "a", [F.col("v").asc_nulls_first(), F.col("id").asc()], ["v"],
+                               chunk_rows=chunk)
+        assert got.count() == df.count()
+        bad = got.join(exp.select("id", "exp"), "id").filter(
+            ~F.col("next_v").eqNullSafe(F.col("exp"))).count()
+        assert bad == 0, chunk
 
 
 def test_empty_input(spark):
