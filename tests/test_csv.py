@@ -57,3 +57,24 @@ def test_warehouse_from_existing_extracts(spark, tmpdir_path):
     for t in ("crm_cust_info", "erp_loc_a101", "erp_cust_az12"):
         assert w.silver(t).exceptAll(ref.silver(t)).count() == 0
     assert w.gold("fact_sales").exceptAll(ref.gold("fact_sales")).count() == 0
+
+
+def test_real_extracts_quarantine_in_audit(spark, tmpdir_path):
+    """A malformed line in an extract is counted in the audit and kept out of bronze."""
+    from strata.plans.warehouse import Warehouse
+    from strata.schemas import TABLES
+    from strata.sources.bronze import land_sources
+    from strata.sources.fixtures import source_table
+    sf = "/root/testdata/sf0.001"
+    land_sources(spark, {t: source_table(spark, sf, t) for t in TABLES}, tmpdir_path, "")
+    extra = os.path.join(tmpdir_path, SOURCE_FILES["crm_sales_details"], "part-extra.csv")
+    with open(extra, "w") as fh:
+        fh.write("sls_ord_num,sls_prd_key,sls_cust_id,sls_order_dt,sls_ship_dt,sls_due_dt,"
+                 "sls_sales,sls_quantity,sls_price\n"
+                 "SOBAD,P1,not-a-number,20200101,20200102,20200103,10,1,10\n")
+    w = Warehouse.from_csv(spark, tmpdir_path)
+    audit = {r.table_name: r for r in w.load_bronze().collect()}
+    assert audit["crm_sales_details"].row_count == 6000
+    assert audit["crm_sales_details"].quarantined == 1
+    assert w.quarantine("crm_sales_details").first()[0].startswith("SOBAD,P1,not-a-number")
+    assert w.bronze("crm_sales_details").filter("sls_ord_num = 'SOBAD'").count() == 0
