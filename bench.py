@@ -46,6 +46,8 @@ def main() -> None:
         t0 = time.perf_counter()
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
+    w.drop_scratch()  # the run is throwaway: leave no data behind
+    w.store.drop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "warehouse_run_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))

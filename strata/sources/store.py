@@ -43,6 +43,18 @@ class LayerStore:
     def has(self, layer: str, table: str) -> bool:
         return (layer, table) in self._tables
 
+    def _fs(self, path: str):
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def drop(self) -> None:
+        """Delete this run's folder (a throwaway run, e.g. a benchmark)."""
+        path, fs = self._fs(self.root)
+        if fs.exists(path):
+            fs.delete(path, True)
+        self._tables.clear()
+
     def retire_older_runs(self, keep: int = 1) -> list[str]:
         """Delete earlier run folders, keeping the newest ``keep`` (this run included).
 
@@ -50,10 +62,7 @@ class LayerStore:
         first, then older copies go.  Uses the Hadoop FileSystem of the
         checkpoint root, so it works on HDFS and object stores alike.
         """
-        sc = self.spark.sparkContext
-        jvm = sc._jvm
-        parent = jvm.org.apache.hadoop.fs.Path(self.root.rsplit("/", 1)[0])
-        fs = parent.getFileSystem(sc._jsc.hadoopConfiguration())
+        parent, fs = self._fs(self.root.rsplit("/", 1)[0])
         if not fs.exists(parent):
             return []
         runs = [st for st in fs.listStatus(parent)

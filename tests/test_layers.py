@@ -246,3 +246,15 @@ def test_retire_older_runs(spark, tmpdir_path):
     stores[-1].retire_older_runs(keep=2)
     assert len(runs()) == 2 and f"run-{stores[-1].run_id}" in runs()
     assert stores[-1].read("silver", "t").count() == 3
+
+
+def test_store_drop_removes_own_run_only(spark, tmpdir_path):
+    import os
+
+    from strata.sources.store import LayerStore
+    root = os.path.join(tmpdir_path, "ckpt")
+    a, b = LayerStore(spark, root=root), LayerStore(spark, root=root)
+    a.write(spark.range(2), "gold", "t")
+    b.write(spark.range(2), "gold", "t")
+    a.drop()
+    assert os.listdir(os.path.join(root, "strata")) == [f"run-{b.run_id}"]
