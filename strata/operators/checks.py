@@ -80,16 +80,25 @@ def check_fk(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFra
 def profile(df: DataFrame, table: str) -> DataFrame:
     """Rows, NULL cells, NULL share of cells and duplicate rows beyond the first.
 
-    NULL cells come from one aggregate pass; duplicates from a distinct count
-    (partial aggregation map-side).
+    NULL cells come from one aggregate pass.  Duplicates are counted
+    exactly without shuffling whole rows: rows are first grouped by a
+    64-bit hash of the row (only hashes and partial counts move).  A row
+    whose hash occurs once is unique.  Only rows sharing a hash (copies, or
+    the rare collision) get an exact ``distinct``; their hash set is joined
+    with a semi join, broadcast when AQE finds it small.
     """
     n_cols = len(df.columns)
     nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
     stats = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("null_cells"))
-    distinct_rows = df.distinct().agg(F.count(F.lit(1)).alias("_distinct")).scalar()
+    hashed = df.select("*", F.xxhash64(*[F.col(c) for c in df.columns]).alias("_pf_h"))
+    per_hash = hashed.groupBy("_pf_h").agg(F.count(F.lit(1)).alias("_pf_n"))
+    unique_rows = per_hash.filter(F.col("_pf_n") == 1).agg(F.count(F.lit(1))).scalar()
+    shared = hashed.join(per_hash.filter(F.col("_pf_n") > 1).select("_pf_h"), "_pf_h",
+                         "left_semi")
+    distinct_shared = shared.drop("_pf_h").distinct().agg(F.count(F.lit(1))).scalar()
     cells = F.col("rows") * n_cols
     return stats.select(
         F.lit(table).alias("table_name"), F.col("rows").alias("row_count"), "null_cells",
         F.when(cells > 0, F.lit(100.0) * F.col("null_cells") / cells)
          .otherwise(F.lit(0.0)).alias("null_pct"),
-        (F.col("rows") - distinct_rows).alias("duplicates"))
+        (F.col("rows") - unique_rows - distinct_shared).alias("duplicates"))

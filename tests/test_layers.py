@@ -258,3 +258,14 @@ def test_store_drop_removes_own_run_only(spark, tmpdir_path):
     b.write(spark.range(2), "gold", "t")
     a.drop()
     assert os.listdir(os.path.join(root, "strata")) == [f"run-{b.run_id}"]
+
+
+def test_profile_duplicates_exact_with_copies_and_collisions(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [("a", None), (None, "a"), ("a", None)]           # null positions hash alike
+    rows += [("hot", "copy")] * 400                           # one group of copies, a third+
+    rows += [(rnd.choice(["x", "y", None]), rnd.choice(["1", "2", "3", None])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    expect = df.count() - df.distinct().count()
+    assert profile(df, "t").first().duplicates == expect
