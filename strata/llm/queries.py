@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate
+from strata.llm import decontaminate, language, tokenfile
 
 QUERIES = {
+    "op2_language_id": language.query,
+    "op8_token_file": tokenfile.query,
     "op10_decontaminate": decontaminate.query,
 }
 
