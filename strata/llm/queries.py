@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, tokenfile
+from strata.llm import decontaminate, language, neardup, tokenfile
 
 QUERIES = {
+    "op1_minhash_groups": neardup.query,
     "op2_language_id": language.query,
     "op8_token_file": tokenfile.query,
     "op10_decontaminate": decontaminate.query,
