@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, neardup, tokenfile
+from strata.llm import decontaminate, language, neardup, secrets, tokenfile
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
     "op2_language_id": language.query,
+    "op5_secret_scan": secrets.query,
     "op8_token_file": tokenfile.query,
     "op10_decontaminate": decontaminate.query,
 }
