@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, mixing, nearest, neardup, secrets, tokenfile
+from strata.llm import decontaminate, language, licenses, mixing, nearest, neardup, secrets, tokenfile
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
     "op2_language_id": language.query,
+    "op3_license_scan": licenses.query,
     "op4_nearest": nearest.query,
     "op5_secret_scan": secrets.query,
     "op7_mix_sources": mixing.query,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_license_scan": licenses.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
 }
