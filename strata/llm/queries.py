@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, licenses, mixing, nearest, neardup, secrets, tokenfile
+from strata.llm import decontaminate, language, licenses, mixing, nearest, neardup, repeats, secrets, tokenfile
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_license_scan": licenses.query,
     "op4_nearest": nearest.query,
     "op5_secret_scan": secrets.query,
+    "op6_repeated_passages": repeats.query,
     "op7_mix_sources": mixing.query,
     "op8_token_file": tokenfile.query,
     "op10_decontaminate": decontaminate.query,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_license_scan": licenses.ORACLE,
+    "op6_repeated_passages": repeats.query,
     "op7_mix_sources": mixing.ORACLE,
 }
