@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, licenses, mixing, nearest, neardup, repeats, secrets, tokenfile
+from strata.llm import decontaminate, language, licenses, lm, mixing, nearest, neardup, repeats, secrets, tokenfile
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_repeated_passages": repeats.query,
     "op7_mix_sources": mixing.query,
     "op8_token_file": tokenfile.query,
+    "op9_lm_score": lm.query,
     "op10_decontaminate": decontaminate.query,
 }
 

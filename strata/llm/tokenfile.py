@@ -162,19 +162,24 @@ class Encoder:
             order = np.argsort(keys)
             self.keys[1], self.at[1] = keys[order], at[order]
 
+    def pieces(self, w: X.Words, which: np.ndarray | None = None) -> np.ndarray:
+        """Cache place of each word of a slice (or of those given), after
+        encoding the new ones."""
+        h = w.hash if which is None else w.hash[which]
+        uniq, where, inverse = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.length) + len(uniq) > CACHE_PIECES:
+            self.clear()
+        new = np.flatnonzero(self._find(uniq) < 0)
+        if len(new):
+            raw, at = w.buf.tobytes(), where[new] if which is None else which[where[new]]
+            self._add(uniq[new], [raw[s:e].decode("utf-8") for s, e in
+                                  zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)])
+        return self._find(uniq)[inverse]
+
     def batches(self, col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, ids per row) of every slice of a column."""
         for w in X.words(col, PIECE, lower=False):
-            uniq, where, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
-            if len(self.length) + len(uniq) > CACHE_PIECES:
-                self.clear()
-            new = np.flatnonzero(self._find(uniq) < 0)
-            if len(new):
-                raw = w.buf.tobytes()
-                self._add(uniq[new], [raw[s:e].decode("utf-8") for s, e in
-                                      zip(w.start[where[new]].tolist(),
-                                          w.end[where[new]].tolist(), strict=True)])
-            at = self._find(uniq)[inverse]
+            at = self.pieces(w)
             n = self.length[at].astype(np.int64)
             ends = np.cumsum(n)
             flat = np.arange(ends[-1] if len(ends) else 0)
