@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, language, licenses, lm, mixing, nearest, neardup, repeats, secrets, tokenfile
+from strata.llm import (
+    decontaminate, language, licenses, lm, mixing, nearest, neardup, repeats, secrets, tokenfile)
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
@@ -19,6 +20,5 @@ QUERIES = {
 
 ORACLE = {
     "op3_license_scan": licenses.ORACLE,
-    "op6_repeated_passages": repeats.query,
     "op7_mix_sources": mixing.ORACLE,
 }
