@@ -22,8 +22,8 @@ def contract(links: DataFrame, scratch: Scratch) -> DataFrame:
     labels = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = scratch.write(both.groupBy("a").agg(F.min("b").alias("b"))
-                           .select(F.col("a").alias("node"), F.least("a", "b").alias("to")))
+        up = (both.groupBy("a").agg(F.min("b").alias("b"))
+              .select(F.col("a").alias("node"), F.least("a", "b").alias("to")))
         jump = scratch.write(
             up.join(up.select(F.col("node").alias("to"), F.col("to").alias("to2")), "to", "left")
             .select("node", F.coalesce("to2", "to").alias("to")))
@@ -35,7 +35,7 @@ def contract(links: DataFrame, scratch: Scratch) -> DataFrame:
             found = _relabel(labels, "label", jump).unionByName(
                 found.join(labels.select("node"), "node", "left_anti"))
         done = scratch.write(found)
-        for old in (edges, up, jump, *([labels] if labels is not None else [])):
+        for old in (edges, jump, *([labels] if labels is not None else [])):
             scratch.drop(old)
         edges, labels = left, done
     scratch.drop(edges)

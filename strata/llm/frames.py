@@ -60,6 +60,15 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+BROADCAST_BYTES = 16 << 20
+
+
+def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Hint a broadcast behind a check of the size; beyond it the planner
+    shuffles as usual.  ``df`` is a written table of ``rows`` rows."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
 def crc_mod(df_col, m: int):
     """crc32(id as text) mod ``m``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(df_col.cast("string"), F.lit("")).cast("binary")) % m

@@ -1,20 +1,27 @@
 """Near-duplicate groups by b-bit MinHash.
 
-A document's set is its distinct ``n``-word shingles.  ``BANDS * ROWS``
-minima give band keys (candidates) and a signature of their low ``BITS``
-bits, packed into longs; the share of equal fields, counted on the bits and
-corrected for chance collisions, estimates the similarity of a candidate
-pair.  What passes with a margin is confirmed on the full sets.
-
-Documents with equal sets form one class and travel as one node, named by a
-128-bit digest of the set.  Within a band bucket no group is ever paired with
-itself: a round compares every member with a few centres (one, later up to
-``CENTRES``, taken from the smallest components of the bucket), confirmed
-links merge components, and centres leave the bucket.  A bucket is done when
-its members are in one component, as further links cannot change the result.
-So each pair of a bucket is either compared or already connected; no cap is
-set on members, partners or candidates.  A pair at the very threshold escapes
-all bands with probability (1 - t^ROWS)^BANDS: 8e-7 at 0.85, 7e-5 at 0.8.
+A document's set is its distinct ``n``-word shingles.  Documents with equal
+sets form one class and travel as one node, named by a 128-bit digest.
+
+1. ``BANDS`` keys of ``ROWS`` minima each find the nodes that may have a near
+   duplicate at all: those that share a key with another node.
+2. Only these get ``DEEP`` minima from their full sets.  Their low ``BITS``
+   bits are the signature; the minima also make longer, more selective keys
+   (``deep_rows``), which give the candidate pairs.
+3. The share of equal bits, corrected for chance collisions, estimates a
+   candidate pair's similarity; what passes with a margin is confirmed on the
+   full sets.
+
+No bucket is joined with itself.  First its members are compared with one
+centre, and confirmed links merge components: that settles most buckets, as
+further links within one component cannot change the result.  In a bucket
+that still holds several components, members of different ones are compared
+by their signatures inside tasks, in blocks of about ``BLOCK`` members, and
+only what passes leaves the task, each pair from the first bucket it shares.
+So each pair of a bucket is either compared or connected already; members,
+partners and candidates have no cap.  A pair at the very threshold escapes
+step 1 with probability (1 - t^ROWS)^BANDS (8e-7 at 0.85, 7e-5 at 0.8) and
+step 2 with at most ``MISS``.
 
 Cases: null, empty or wordless texts have an empty set (n_shingles 0), link
 with nothing and are their own component; fewer words than ``n`` are one
@@ -35,16 +42,24 @@ from pyspark.sql import functions as F
 
 from strata.llm import text as X
 from strata.llm.components import contract
-from strata.llm.frames import Scratch, arrow_map, table
+from strata.llm.frames import Scratch, arrow_map, small, table
 
-BANDS, ROWS, BITS = 24, 5, 4
-PERMS = BANDS * ROWS
-LONGS = -(-PERMS * BITS // 64)
-MARGIN = 0.2       # five to six standard errors of the estimate
-CENTRES = 8
+BANDS, ROWS = 24, 5
+DEEP, BITS = 1920, 1
+LONGS = DEEP * BITS // 64
+MISS = 1e-4
+MARGIN = 0.06      # about five standard errors of the estimate at 0.8 and more
+BLOCK = 2048       # members compared at once
 
-_A = X.mix64(np.arange(1, PERMS + 1, dtype=X.U64) * X.U64(0x8CB92BA72F3D8DD7)) | X.U64(1)
-_B = X.mix64(np.arange(1, PERMS + 1, dtype=X.U64) * X.U64(0xBF58476D1CE4E5B9))
+# odd factors and offsets of the permutations, on 32 bits of a shingle's hash
+_AB = X.mix64(np.arange(1, 2 * DEEP + 1, dtype=X.U64) * X.U64(0x8CB92BA72F3D8DD7)) >> X.U64(32)
+_A, _B = _AB[:DEEP].astype(np.uint32) | np.uint32(1), _AB[DEEP:].astype(np.uint32)
+
+
+def deep_rows(percent: int) -> int:
+    """Minima per key of step 2: as many as keep its loss under MISS."""
+    t = percent / 100
+    return max([r for r in range(1, 33) if (1 - t ** r) ** (DEEP // r) <= MISS], default=1)
 
 
 # ---- sets and signatures -------------------------------------------------
@@ -62,29 +77,32 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _minima(s: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Minima of all permutations for the (non-empty) rows beginning at ``first``."""
-    out = np.empty((PERMS, len(first)), X.U64)
-    for k in range(PERMS):
-        out[k] = np.minimum.reduceat(s * _A[k] + _B[k], first)
+def _minima(s: np.ndarray, first: np.ndarray, perms: int) -> np.ndarray:
+    """Minima of the permutations for the (non-empty) rows beginning at ``first``."""
+    x = (s >> X.U64(32)).astype(np.uint32)
+    out = np.empty((perms, len(first)), np.uint32)
+    for k in range(perms):
+        out[k] = np.minimum.reduceat(x * _A[k] + _B[k], first)
     return out
 
 
 def _packed(minima: np.ndarray) -> np.ndarray:
     """Low bits of the minima (mixed, so that small minima keep them), in longs."""
-    low = X.mix64(minima) & X.U64((1 << BITS) - 1)
+    low = X.mix64(minima.astype(X.U64) * X.FILL) & X.U64((1 << BITS) - 1)
     out = np.zeros((LONGS, minima.shape[1]), X.U64)
     per = 64 // BITS
-    for k in range(PERMS):
+    for k in range(DEEP):
         out[k // per] |= low[k] << X.U64(BITS * (k % per))
     return out
 
 
-def _band_keys(minima: np.ndarray) -> np.ndarray:
-    out = np.empty((BANDS, minima.shape[1]), X.U64)
-    for b in range(BANDS):
+def _keys(minima: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for every ``rows`` minima, other for each band."""
+    bands = len(minima) // rows
+    out = np.empty((bands, minima.shape[1]), X.U64)
+    for b in range(bands):
         key = np.full(minima.shape[1], b + 1, X.U64)
-        for k in range(b * ROWS, (b + 1) * ROWS):
+        for k in range(b * rows, (b + 1) * rows):
             key = X.mix64(key * X.FILL + minima[k])
         out[b] = key
     return out
@@ -98,16 +116,14 @@ def _fingerprint(n: int):
             has = np.flatnonzero(counts > 0)
             node = [_digest(s[e - c:e]) if c else None
                     for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-            sig = np.zeros((len(counts), LONGS), np.int64)
             bands = np.zeros((len(counts), BANDS), np.int64)
             if len(has):
-                minima = _minima(s, (ends - counts)[has])
-                sig[has] = _packed(minima).T.view(np.int64)
-                bands[has] = _band_keys(minima).T.view(np.int64)
+                bands[has] = _keys(_minima(s, (ends - counts)[has], BANDS * ROWS),
+                                   ROWS).T.view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(row, len(counts)), pa.array(counts, pa.int64()),
-                pa.array(node, pa.binary()), _lists(sig), _lists(bands)],
-                names=["doc_id", "n_shingles", "node", "sig", "bands"])
+                pa.array(node, pa.binary()), _lists(bands)],
+                names=["doc_id", "n_shingles", "node", "bands"])
     return run
 
 
@@ -119,28 +135,32 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 def fingerprints(docs: DataFrame, n: int) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _fingerprint(n),
-                     "doc_id long, n_shingles long, node binary, sig array<long>, "
-                     "bands array<long>")
+                     "doc_id long, n_shingles long, node binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, set) of documents (doc_id, text, node), one row per node."""
+def deep(docs: DataFrame, n: int, rows: int) -> DataFrame:
+    """(node, set, sig, bands) of documents (text, node)."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         want = batch.column("node").to_pylist()
         for row, s, counts in _sets(batch.column("text"), n):
             ends = np.cumsum(counts)
-            keep = [(want[row + r], s[e - c:e]) for r, (e, c) in
-                    enumerate(zip(ends.tolist(), counts.tolist(), strict=True))
+            # a row of the same id with another text is not the node's
+            keep = [r for r, (e, c) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True))
                     if c and _digest(s[e - c:e]) == want[row + r]]
-            if keep:  # a row of the same id with another text is not the node's
-                off = np.concatenate([[0], np.cumsum([len(u) for _, u in keep])]).astype(np.int32)
-                flat = np.concatenate([u for _, u in keep]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in keep], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
-                    names=["node", "set"])
+            if not keep:
+                continue
+            s = np.concatenate([s[ends[r] - counts[r]:ends[r]] for r in keep])
+            off = np.concatenate([[0], np.cumsum(counts[keep])])
+            minima = _minima(s, off[:-1], DEEP)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([want[row + r] for r in keep], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(s.view(np.int64))),
+                _lists(_packed(minima).T.view(np.int64)),
+                _lists(_keys(minima, rows).T.view(np.int64))],
+                names=["node", "set", "sig", "bands"])
 
-    return arrow_map(docs, run, "node binary, set array<long>").dropDuplicates(["node"])
+    return arrow_map(docs, run, "node binary, set array<long>, sig array<long>, "
+                     "bands array<long>")
 
 
 # ---- similarity ----------------------------------------------------------
@@ -157,77 +177,134 @@ def estimate(a: str, b: str):
             y = y.bitwiseOR(F.shiftrightunsigned(x, s))
         differ = differ + F.bit_count(y.bitwiseAND(F.lit(fields)))
     chance = 1.0 / (1 << BITS)
-    return (1 - differ / PERMS - chance) / (1 - chance)
+    return (1 - differ / DEEP - chance) / (1 - chance)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, rows: int, known: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, la, lb) whose full sets are similar enough."""
-    one = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(two, "b").join(one, "a")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - F.col("n")
-    return (both.withColumn("n", common).filter(F.lit(100) * F.col("n") >= F.lit(percent) * union)
-            .select("a", "b", "la", "lb"))
+    one = known.select(F.col("node").alias("a"), F.col("set").alias("xa"))
+    two = known.select(F.col("node").alias("b"), F.col("set").alias("xb"))
+    both = small(pairs, rows, 100).join(two, "b").join(one, "a").withColumn(
+        "n", F.size(F.array_intersect("xa", "xb")))
+    union = F.size("xa") + F.size("xb") - F.col("n")
+    return both.filter(F.lit(100) * F.col("n") >= F.lit(percent) * union).select(*pairs.columns)
+
+
+def _near(pairs: DataFrame, rows: int, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures may belong to similar enough sets."""
+    one = known.select(F.col("node").alias("a"), F.col("sig").alias("xa"))
+    two = known.select(F.col("node").alias("b"), F.col("sig").alias("xb"))
+    return (small(pairs, rows, 100).join(two, "b").join(one, "a")
+            .filter(estimate("xa", "xb") >= percent / 100 - MARGIN).select(*pairs.columns))
+
+
+def _compare(percent: int):
+    """Pairs of a block of a bucket that are in different components, may be
+    similar enough, and share no earlier bucket."""
+    cut = percent / 100 - MARGIN
+    chance = 1.0 / (1 << BITS)
+    most = DEEP * (1 - (cut * (1 - chance) + chance))  # differing fields
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        index, i, j = key[1].as_py(), key[2].as_py(), key[3].as_py()
+        label = np.array(t["label"].to_pylist(), object)
+        names, of, n = np.unique(label.astype("S"), return_inverse=True, return_counts=True)
+        order = np.lexsort((of, n[of]))  # rows of small components first
+        t, of = t.take(pa.array(order)), of[order]
+        sig = _matrix(t["sig"])
+        bands = _matrix(t["bands"])
+        blk = t["blk"].to_numpy()
+        out: list[tuple[int, int]] = []
+        for x in range(len(of)):
+            if of[x] == of[-1]:
+                break  # the largest component is left, compared by all others
+            y = x + 1 + np.flatnonzero(of[x + 1:] != of[x])
+            if i != j:
+                y = y[blk[y] != blk[x]]
+            y = y[_differ(sig[x], sig[y]) <= most]
+            y = y[(bands[y] == bands[x]).argmax(1) == index] if len(y) else y
+            out += [(x, k) for k in y.tolist()]
+        a, b = [pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)]
+        return pa.table({"a": t["node"].take(a), "b": t["node"].take(b),
+                         "la": t["label"].take(a), "lb": t["label"].take(b)})
+    return run
+
+
+def _matrix(col: pa.ChunkedArray) -> np.ndarray:
+    flat = col.combine_chunks().flatten().to_numpy()
+    return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 1)
+
+
+def _differ(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Fields in which a signature differs from each of the others."""
+    d = (rows ^ x).view(X.U64)
+    y = d
+    for s in range(1, BITS):
+        y = y | (d >> X.U64(s))
+    fields = X.U64(sum(1 << (BITS * k) for k in range(64 // BITS)))
+    return np.bitwise_count(y & fields).sum(1, dtype=np.int64)
 
 
 # ---- groups --------------------------------------------------------------
 
+def _shared(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """The bands that hold at least two of the members."""
+    return scratch.write(members.groupBy("band").agg(F.count("*").alias("m"))
+                         .filter("m > 1").select("band"))
+
+
+def _known(docs: DataFrame, classes: DataFrame, n: int, percent: int,
+           scratch: Scratch) -> DataFrame:
+    """Sets, signatures and keys of the nodes that share a band with another."""
+    # the first half of the digest is enough here: a clash adds a node in vain
+    nodes = classes.withColumn("nid", F.conv(F.substring(F.hex("node"), 1, 15), 16, 10).cast("long"))
+    members = nodes.select("nid", F.explode("bands").alias("band"))
+    some = members.join(_shared(members, scratch), "band").select("nid").distinct()
+    some = scratch.write(nodes.join(some, "nid", "left_semi").select("node", "doc"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("of"), "text")
+    mine = texts.join(small(some, some.count(), 40), F.col("of").eqNullSafe(F.col("doc")))
+    known = scratch.write(deep(mine.select("text", "node"), n, deep_rows(percent)))
+    again = known.groupBy("node").count().filter("count > 1")
+    return known if again.isEmpty() else scratch.write(known.dropDuplicates(["node"]))
+
+
 def _linked(docs: DataFrame, classes: DataFrame, n: int, percent: int,
             scratch: Scratch) -> DataFrame | None:
     """(node, label) of every node that shares a component with another one."""
-    members = classes.select("node", "sig", F.explode("bands").alias("band"))
-    shared = scratch.write(members.groupBy("band").agg(F.count("*").alias("m"))
-                           .filter("m > 1").select("band"))
-    active = scratch.write(members.join(shared, "band")
-                           .withColumn("label", F.col("node")))
+    known = _known(docs, classes, n, percent, scratch)
+    members = known.select("node", F.explode("bands").alias("band"))
+    active = scratch.write(members.join(_shared(members, scratch), "band"))
     if active.isEmpty():
         return None
-    some = active.select("node").distinct().join(classes.select("node", "doc"), "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(
-        some.withColumnRenamed("doc", "of"), F.col("doc").eqNullSafe(F.col("of")))
-    sets = scratch.write(full_sets(texts.select("text", "node"), n))
-    labels, centres = None, 1
-    while not active.isEmpty():
-        # a candidate centre of each component in each bucket, then the
-        # smallest components' ones, at most ``centres`` in a bucket
-        slot = F.pmod(F.xxhash64("label"), F.lit(centres))
-        heads = (active.groupBy("band", "label")
-                 .agg(F.count("*").alias("m"), F.min(F.struct("node", "sig")).alias("c"))
-                 .groupBy("band", slot.alias("slot"))
-                 .agg(F.min(F.struct("m", "c", "label")).alias("h")))
-        heads = scratch.write(heads.select(
-            "band", F.col("h.c.node").alias("a"), F.col("h.c.sig").alias("sig_a"),
-            F.col("h.label").alias("la")))
-        pairs = (active.join(heads, "band")
-                 .filter((F.col("label") != F.col("la"))
-                         & (estimate("sig", "sig_a") >= percent / 100 - MARGIN))
-                 .select("a", F.col("node").alias("b"), "la", F.col("label").alias("lb"))
-                 .distinct())
-        found = scratch.write(_confirm(pairs, sets, percent))
-        merged = contract(found.select(F.col("la").alias("a"), F.col("lb").alias("b")), scratch)
-        new = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        if labels is None:
-            labels_next = merged
-        else:
-            labels_next = (labels.join(new, "label", "left")
-                           .select("node", F.coalesce("to", "label").alias("label")))
-            labels_next = labels_next.unionByName(
-                merged.join(labels.select("node"), "node", "left_anti"))
-        labels_next = scratch.write(labels_next)
-        rest = (active.join(heads.select("band", F.col("a").alias("node")), ["band", "node"],
-                            "left_anti")
-                .join(new, "label", "left")
-                .select("node", "sig", "band", F.coalesce("to", "label").alias("label")))
-        rest = scratch.write(rest)
-        open_bands = scratch.write(rest.groupBy("band").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .filter("lo != hi").select("band"))
-        left = scratch.write(rest.join(open_bands, "band").select(*rest.columns))
-        for old in (active, heads, found, rest, open_bands, *([labels] if labels is not None else [])):
-            scratch.drop(old)
-        active, labels, centres = left, labels_next, CENTRES
-    return labels
+    # 1. every member with the bucket's centre
+    heads = scratch.write(active.groupBy("band").agg(F.min("node").alias("a")))
+    pairs = scratch.write(active.join(heads, "band").filter("node <> a").select(
+        "a", F.col("node").alias("b"), F.col("a").alias("la"), F.col("node").alias("lb")).distinct())
+    near = scratch.write(_near(pairs, pairs.count(), known, percent))
+    links = scratch.write(_confirm(near, near.count(), known, percent).select("a", "b"))
+    labels = contract(links, scratch)
+    # 2. members of different components of a bucket, without its centre
+    rest = scratch.write(
+        active.join(heads.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti")
+        .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    unlike = scratch.write(rest.groupBy("band").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+        .filter("lo <> hi").select("band", F.ceil(F.col("m") / BLOCK).alias("blocks")))
+    if unlike.isEmpty():
+        return labels
+    left = rest.join(unlike, "band").join(known.select("node", "sig", "bands"), "node")
+    blk = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    placed = (left.withColumn("blk", blk).withColumn("_j", other)
+              .withColumn("_at", (F.array_position("bands", F.col("band")) - 1).cast("int"))
+              .select("node", "label", "sig", "bands", "blk", "band", "_at",
+                      F.least("blk", "_j").alias("_i"), F.greatest("blk", "_j").alias("_j")))
+    again = scratch.write(placed.groupBy("band", "_at", "_i", "_j").applyInArrow(
+        _compare(percent), "a binary, b binary, la binary, lb binary"))
+    more = scratch.write(_confirm(again, again.count(), known, percent).select("a", "b"))
+    if more.isEmpty():
+        return labels
+    return contract(links.unionByName(more), scratch)
 
 
 def _grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -237,8 +314,7 @@ def _grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     prints = scratch.write(fingerprints(docs, n))
     classes = scratch.write(
         prints.filter("n_shingles > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc"),
-            F.first("sig").alias("sig"), F.first("bands").alias("bands")))
+            F.min("doc_id").alias("doc"), F.first("bands").alias("bands")))
     labels = _linked(docs, classes, n, percent, scratch)
     own = classes.select("node", "doc")
     if labels is None:

@@ -59,9 +59,9 @@ def made(seed=3):
     return docs
 
 
-@pytest.mark.parametrize("centres,n,percent", [(8, 3, 85), (2, 5, 80)])
-def test_equals_brute_force(spark, monkeypatch, centres, n, percent):
-    monkeypatch.setattr(N, "CENTRES", centres)
+@pytest.mark.parametrize("block,n,percent", [(2048, 3, 85), (3, 3, 85), (2048, 5, 80)])
+def test_equals_brute_force(spark, monkeypatch, block, n, percent):
+    monkeypatch.setattr(N, "BLOCK", block)
     docs = made()
     df = spark.createDataFrame([(*d, True, "x") for d in docs],
                                "doc_id long, text string, kept boolean, node string").repartition(5)
@@ -95,7 +95,14 @@ def test_estimate_follows_similarity(spark):
     b = " ".join(f"a{i}" if i % 100 else f"b{i}" for i in range(2000))
     df = spark.createDataFrame([(1, a), (2, b), (3, " ".join(f"c{i}" for i in range(900)))],
                                "doc_id long, text string")
-    p = N.fingerprints(df, 3).select("doc_id", "sig")
+    nodes = N.fingerprints(df, 3).select("doc_id", "node")
+    p = N.deep(df.join(nodes, "doc_id"), 3, 16).join(nodes, "node").select("doc_id", "sig")
     q = p.toDF("d2", "sig2")
     est = {(r.doc_id, r.d2): r.e for r in p.join(q).select("doc_id", "d2", N.estimate("sig", "sig2").alias("e")).collect()}
-    assert est[1, 1] == 1 and abs(est[1, 2] - 0.94) < 0.12 and abs(est[1, 3]) < 0.12
+    assert est[1, 1] == 1 and abs(est[1, 2] - 0.94) < 0.04 and abs(est[1, 3]) < 0.12
+
+
+def test_deep_rows_keep_the_loss_bound():
+    for percent in (80, 85, 95):
+        r = N.deep_rows(percent)
+        assert (1 - (percent / 100) ** r) ** (N.DEEP // r) <= N.MISS and r >= 5
