@@ -74,13 +74,13 @@ def int_div(a: Column, b: Column) -> Column:
 
 def reconcile_sales(sales: Column, qty: Column, price: Column) -> Column:
     """Recompute sales as qty * |price| when missing, non-positive or inconsistent."""
-    expected = qty * F.abs(price)
+    expected = qty.cast("long") * F.abs(price).cast("long")  # wide before the product
     return F.when(sales.isNull() | (sales <= 0) | (sales != expected), expected).otherwise(sales)
 
 
 def repair_price(price: Column, sales: Column, qty: Column) -> Column:
     """Derive price from the *raw* sales when missing or non-positive."""
-    return F.when(price.isNull() | (price <= 0), int_div(sales, qty).cast("int")).otherwise(price)
+    return F.when(price.isNull() | (price <= 0), int_div(sales, qty).cast("long")).otherwise(price)
 
 
 def strip_prefix(col: Column | str, prefix: str) -> Column:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, I, D, TS = T.StringType(), T.IntegerType(), T.DateType(), T.TimestampType()
+# Ids and amounts are bigint (the source declares INT): ids outgrow 32 bits,
+# and a product of two amounts must not overflow.
+S, I, L, D, TS = (T.StringType(), T.IntegerType(), T.LongType(), T.DateType(),
+                  T.TimestampType())
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -13,15 +16,15 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 BRONZE = {
     "crm_cust_info": _struct(
-        ("cst_id", I), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
+        ("cst_id", L), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
         ("cst_marital_status", S), ("cst_gndr", S), ("cst_create_date", D)),
     "crm_prd_info": _struct(
-        ("prd_id", I), ("prd_key", S), ("prd_nm", S), ("prd_cost", I), ("prd_line", S),
+        ("prd_id", L), ("prd_key", S), ("prd_nm", S), ("prd_cost", I), ("prd_line", S),
         ("prd_start_dt", TS), ("prd_end_dt", TS)),
     "crm_sales_details": _struct(
-        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", I), ("sls_order_dt", I),
-        ("sls_ship_dt", I), ("sls_due_dt", I), ("sls_sales", I), ("sls_quantity", I),
-        ("sls_price", I)),
+        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", L), ("sls_order_dt", I),
+        ("sls_ship_dt", I), ("sls_due_dt", I), ("sls_sales", L), ("sls_quantity", L),
+        ("sls_price", L)),
     "erp_loc_a101": _struct(("cid", S), ("cntry", S)),
     "erp_cust_az12": _struct(("cid", S), ("bdate", D), ("gen", S)),
     "erp_px_cat_g1v2": _struct(("id", S), ("cat", S), ("subcat", S), ("maintenance", S)),
