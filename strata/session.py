@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # "Today" for every rule that reads GETDATE() in the source SQL.  Results must
@@ -14,28 +15,38 @@ DEFAULT_AS_OF = "2026-01-01"
 
 def build_session(master: str | None = None, app: str = "strata",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for tests, bench and local runs.
+    """Session for the CLI, tests, bench and local runs.
 
-    On a cluster the launcher's configuration wins: builder options only
-    fill in what is not set already (getOrCreate keeps an existing session).
+    A session that exists already is taken as it is.  Otherwise what the
+    launcher set (spark-submit options, spark-defaults, PYSPARK_SUBMIT_ARGS)
+    wins: the defaults below only fill in keys that nobody set, and the
+    master is local only if none is given.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    SparkContext._ensure_initialized()  # starts the JVM with the launcher's options
+    given = SparkConf()
+    builder = SparkSession.builder
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", "16g")
-    )
+    chosen = given.get("spark.master", None)
+    if chosen in (None, "local[*]"):  # what spark-submit fills in if nobody chose one
+        chosen = master or f"local[{cpus}]"
+    builder = builder.master(chosen)
+    defaults = {
+        "spark.app.name": app,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if chosen.startswith("local"):  # a cluster's partition count is the launcher's business
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     log_dir = os.environ.get("STRATA_EVENT_LOG_DIR")
     if log_dir:  # stage/task timings for tools/stage_report.py
-        builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", log_dir))
+        defaults |= {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    for key, value in defaults.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -45,13 +56,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised layers.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set, as in a bare test session,
-    a private folder is created and registered as the checkpoint dir.
+    checkpoint dir).  If neither is set, a local master gets a private folder
+    (tests, bench); any other master is an error, as its executors would each
+    write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or \
+                spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -1,9 +1,10 @@
 """Bronze load: six CSV extracts -> six raw tables, with a load audit.
 
 Each table is a full refresh.  Parsing happens once: the typed rows are
-written partitioned by ``_bad`` so clean rows and quarantined lines land in
-one pass, and the bronze table is the ``_bad=false`` partition (pruned at
-listing time).  Failures raise; nothing is swallowed.
+written with the line of those that did not parse in ``_corrupt_record``.  The
+bronze table is the rows where that is NULL (pushed down to the files), the
+quarantine the others; nothing is sorted or shuffled.  Failures raise;
+nothing is swallowed.
 """
 
 from __future__ import annotations
@@ -14,50 +15,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import BRONZE, TABLES
-from strata.sources.csv import CORRUPT, SOURCE_FILES, read_csv
+from strata.sources.csv import CORRUPT, SOURCE_FILES, read_csv, write_csv
 from strata.sources.store import LayerStore, run_concurrently
 
 AUDIT_SCHEMA = "layer string, table_name string, row_count long, quarantined long, seconds double, status string"
+BATCH = "(all)"  # the audit row of a whole load
+
+
+def with_total(layer: str, rows: list[tuple], seconds: float) -> list[tuple]:
+    """The audit rows of a load and their batch total."""
+    return [*rows, (layer, BATCH, sum(r[2] for r in rows), sum(r[3] for r in rows),
+                    round(seconds, 3), "loaded")]
 
 
 def load_csv_table(store: LayerStore, landing_dir: str, table: str,
-                   null_value: str = "") -> tuple[int, int]:
+                   null_values: tuple[str, ...] = ("",)) -> tuple[int, int]:
     """Load one extract into ``bronze/<table>``; returns (rows, quarantined)."""
     raw = read_csv(store.spark, f"{landing_dir.rstrip('/')}/{SOURCE_FILES[table]}",
-                   BRONZE[table], null_value=null_value)
-    staged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull())
-    out = store.write(staged, "bronze_staged", table, partition_by=["_bad"])
-    # partition values come back as text; at most two rows reach the driver
-    counts = out.groupBy(F.col("_bad").cast("boolean").alias("_bad")).count().collect()
-    by_flag = {r["_bad"]: r["count"] for r in counts}
-    return by_flag.get(False, 0), by_flag.get(True, 0)
+                   BRONZE[table], null_values=null_values)
+    out = store.write(raw, "bronze_staged", table)
+    n = out.agg(F.count(F.lit(1)).alias("n"), F.count(CORRUPT).alias("bad")).first()
+    return n["n"] - n["bad"], n["bad"]
 
 
 def bronze_table(store: LayerStore, table: str) -> DataFrame:
-    staged = store.read("bronze_staged", table)
-    return staged.filter(~F.col("_bad").cast("boolean")).drop("_bad", CORRUPT)
+    return store.read("bronze_staged", table).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def quarantine_table(store: LayerStore, table: str) -> DataFrame:
-    staged = store.read("bronze_staged", table)
-    return staged.filter(F.col("_bad").cast("boolean")).select(CORRUPT)
+    return store.read("bronze_staged", table).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
 
+def load_bronze(store: LayerStore, landing_dir: str,
+                null_values: tuple[str, ...] = ("",)) -> DataFrame:
+    """All six loads (independent, run concurrently); the audit has one row
+    per table and the batch total."""
+    began = time.time()
 
-def load_bronze(store: LayerStore, landing_dir: str, null_value: str = "") -> DataFrame:
-    """All six loads (independent, run concurrently); the audit has one row per table."""
     def one(table: str):
         t0 = time.time()
-        rows, bad = load_csv_table(store, landing_dir, table, null_value)
+        rows, bad = load_csv_table(store, landing_dir, table, null_values)
         return ("bronze", table, rows, bad, round(time.time() - t0, 3), "loaded")
 
     done = run_concurrently({t: (lambda t=t: one(t)) for t in TABLES})
-    return store.spark.createDataFrame([done[t] for t in TABLES], AUDIT_SCHEMA)
+    return store.spark.createDataFrame(
+        with_total("bronze", [done[t] for t in TABLES], time.time() - began), AUDIT_SCHEMA)
 
 
 def land_sources(spark: SparkSession, tables: dict[str, DataFrame], landing_dir: str,
-                 null_value: str = "") -> None:
-    """Write source tables as CSV extracts in the fixed folder layout."""
-    from strata.sources.csv import write_csv
-    run_concurrently({t: (lambda t=t, df=df: write_csv(
-        df, f"{landing_dir.rstrip('/')}/{SOURCE_FILES[t]}", null_value))
-        for t, df in tables.items()})
+                 null_value: str = "", malformed: dict[str, DataFrame] | None = None) -> None:
+    """Write source tables as CSV extracts in the fixed folder layout, with
+    the given malformed rows (columns of text) beside them."""
+    def one(table: str, df: DataFrame) -> None:
+        path = f"{landing_dir.rstrip('/')}/{SOURCE_FILES[table]}"
+        write_csv(df, path, null_value)
+        if malformed and table in malformed:
+            write_csv(malformed[table], path, null_value, append=True)
+
+    run_concurrently({t: (lambda t=t, df=df: one(t, df)) for t, df in tables.items()})

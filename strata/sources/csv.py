@@ -1,19 +1,28 @@
 """CSV sources (the bronze extracts) and the landing writer.
 
-Reading uses the declared schema, never inference.  ``enforceSchema=False``
-makes Spark compare the header with the schema, so a file whose columns are
-in another order fails instead of loading values into the wrong columns.
-Malformed lines are kept (PERMISSIVE) with their raw text in
-``_corrupt_record``; the loader routes them to a quarantine table.
+Fields follow RFC 4180: a quote inside a quoted field is doubled, a backslash
+is an ordinary character.  ``enforceSchema=False`` makes Spark compare the
+header with the schema, so a file whose columns are in another order fails
+instead of loading values into the wrong columns.  Fields are scanned as text
+and converted by the declared types: a field equal to a NULL marker is NULL,
+and in a number or date column so are the usual markers of ``NUMBER_NULLS``.
+A line with another number of fields, or with a field that does not convert,
+is kept whole in ``_corrupt_record``; the loader quarantines it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+# Markers that can be no value of a number or date column.
+NUMBER_NULLS = ("", "NaN", "nan", "NULL", "null", "NA", "N/A", "n/a", "None", "#N/A")
+
 # Fixed file layout of the extracts: source system folder and file name.
 SOURCE_FILES = {
     "crm_cust_info": "source_crm/cust_info.csv",
@@ -25,25 +34,53 @@ SOURCE_FILES = {
 }
 
 
+def _typed(field: T.StructField, markers: tuple[str, ...]) -> Column:
+    c = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return F.when(~c.isin(*markers), c)
+    text = F.trim(c)
+    return F.when(~text.isin(*markers, *NUMBER_NULLS), text).try_cast(field.dataType)
+
+
+def _unconverted(field: T.StructField, markers: tuple[str, ...]) -> Column:
+    """A value that is there but does not convert."""
+    if isinstance(field.dataType, T.StringType):
+        return F.lit(False)
+    text = F.trim(F.col(field.name))
+    return (text.isNotNull() & ~text.isin(*markers, *NUMBER_NULLS)
+            & _typed(field, markers).isNull())
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_value: str = "", mode: str = "PERMISSIVE") -> DataFrame:
+             null_values: tuple[str, ...] = ("",), mode: str = "PERMISSIVE") -> DataFrame:
     """Scan one extract: header row skipped, comma separated, typed by ``schema``.
 
     With ``mode="PERMISSIVE"`` the result has an extra ``_corrupt_record``
-    column holding the raw line of rows that did not parse.
+    column holding the line of rows that did not parse; with ``"FAILFAST"``
+    such a line fails the scan.
     """
-    reader = (spark.read.option("header", True).option("sep", ",")
-              .option("enforceSchema", False).option("nullValue", null_value)
-              .option("mode", mode))
-    if mode == "PERMISSIVE":
-        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
+    text.add(CORRUPT, T.StringType(), True)
+    raw = (spark.read.option("header", True).option("sep", ",")
+           .option("quote", '"').option("escape", '"')
+           .option("enforceSchema", False).option("nullValue", "\x00").option("emptyValue", "")
+           .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
+           .schema(text).csv(path))
+    bad = reduce(lambda a, b: a | b, [_unconverted(f, null_values) for f in schema])
+    line = F.to_csv(F.struct(*[F.col(f.name) for f in schema]), {"escape": '"'})
+    corrupt = F.coalesce(F.col(CORRUPT), F.when(F.coalesce(bad, F.lit(False)), line))
+    marked = raw.withColumn(CORRUPT, corrupt)
+    typed = [_typed(f, null_values).alias(f.name) for f in schema]
+    if mode != "PERMISSIVE":
+        failed = F.raise_error(F.concat(F.lit("malformed line: "), F.col(CORRUPT))).cast("boolean")
+        return marked.filter(F.when(F.col(CORRUPT).isNotNull(), failed).otherwise(True)).select(*typed)
+    return marked.select(*typed, CORRUPT)
 
 
-def write_csv(df: DataFrame, path: str, null_value: str = "") -> None:
+def write_csv(df: DataFrame, path: str, null_value: str = "", append: bool = False) -> None:
     """Write an extract with a header, keeping leading and trailing spaces."""
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("append" if append else "overwrite").option("header", True)
+     .option("quote", '"').option("escape", '"')
      .option("nullValue", null_value)
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)

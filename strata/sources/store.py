@@ -5,71 +5,146 @@ committed, so a failed load never exposes a half-written or truncated table
 (the stage-then-swap the source procedures lacked).  Folders live under the
 shared checkpoint root so they survive executor loss and cut lineage: every
 later stage reads files instead of recomputing the plan that made them.
+
+Each run keeps a manifest: one small JSON file per table with its schema,
+written after the table, and one that tells the run's owner and whether it is
+published.  So a run can be reopened by id, and clean-up retires only
+published runs of its own owner.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from strata.session import checkpoint_root
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written aside, then renamed."""
+    p, fs = hadoop_path(spark, path)
+    aside, _ = hadoop_path(spark, f"{path}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(aside, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 class LayerStore:
-    def __init__(self, spark: SparkSession, root: str | None = None, run_id: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, run_id: str | None = None,
+                 owner: str = "strata"):
+        """``run_id`` of an earlier run reopens it: its tables are there."""
         self.spark = spark
+        self.owner = owner
         self.run_id = run_id or uuid.uuid4().hex[:12]
-        self.root = f"{root or checkpoint_root(spark)}/strata/run-{self.run_id}"
-        self._tables: dict[tuple[str, str], str] = {}
-
+        self.base = f"{root or checkpoint_root(spark)}/strata"
+        self.root = f"{self.base}/run-{self.run_id}"
+        self._schemas: dict[tuple[str, str], T.StructType] = {}
+        if run_id and self._manifest(self.run_id) is not None:
+            self._reopen()
+        else:
+            self._mark(published=False)
+
+    # ------------------------------------------------------------ manifest
+    def _manifest(self, run_id: str) -> dict | None:
+        text = read_text(self.spark, f"{self.base}/run-{run_id}/_manifest/run.json")
+        return json.loads(text) if text else None
+
+    def _mark(self, **more) -> None:
+        known = self._manifest(self.run_id) or {"owner": self.owner, "published": False}
+        write_text(self.spark, f"{self.root}/_manifest/run.json", json.dumps(known | more))
+
+    def note(self, **more) -> None:
+        """Keep facts about the run (e.g. what its input was) in the manifest."""
+        self._mark(**more)
+
+    def noted(self, key: str):
+        return (self._manifest(self.run_id) or {}).get(key)
+
+    def publish(self) -> None:
+        """The run is complete: later runs of this owner may retire older ones."""
+        self._mark(published=True)
+
+    def _reopen(self) -> None:
+        p, fs = hadoop_path(self.spark, f"{self.root}/_manifest")
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.endswith(".table.json"):
+                m = json.loads(read_text(self.spark, f"{self.root}/_manifest/{name}"))
+                self._schemas[(m["layer"], m["table"])] = T.StructType.fromJson(m["schema"])
+
+    # ------------------------------------------------------------ tables
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def write(self, df: DataFrame, layer: str, table: str,
-              partition_by: list[str] | None = None) -> DataFrame:
+    def write(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Full-refresh sink: write the table, then publish it."""
-        path = self.path(layer, table)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        self._tables[(layer, table)] = path
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+        df.write.mode("overwrite").parquet(self.path(layer, table))
+        write_text(self.spark, f"{self.root}/_manifest/{layer}.{table}.table.json", json.dumps(
+            {"layer": layer, "table": table, "schema": json.loads(schema.json())}))
+        self._schemas[(layer, table)] = schema
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._tables[(layer, table)])
+        """With the schema known at write time: no job reads file footers."""
+        return self.spark.read.schema(self._schemas[(layer, table)]).parquet(self.path(layer, table))
 
     def has(self, layer: str, table: str) -> bool:
-        return (layer, table) in self._tables
-
-    def _fs(self, path: str):
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+        return (layer, table) in self._schemas
 
+    # ------------------------------------------------------------ clean-up
     def drop(self) -> None:
         """Delete this run's folder (a throwaway run, e.g. a benchmark)."""
-        path, fs = self._fs(self.root)
-        if fs.exists(path):
-            fs.delete(path, True)
-        self._tables.clear()
+        delete_folder(self.spark, self.root)
+        self._schemas.clear()
 
     def retire_older_runs(self, keep: int = 1) -> list[str]:
-        """Delete earlier run folders, keeping the newest ``keep`` (this run included).
+        """Delete earlier published runs of this owner, keeping the newest
+        ``keep`` (this run included).
 
         The counterpart of the source's TRUNCATE: the new run is published
-        first, then older copies go.  Uses the Hadoop FileSystem of the
-        checkpoint root, so it works on HDFS and object stores alike.
+        first, then older copies go.  Runs of other owners, and runs that
+        are still being written, are left alone.
         """
-        parent, fs = self._fs(self.root.rsplit("/", 1)[0])
+        parent, fs = hadoop_path(self.spark, self.base)
         if not fs.exists(parent):
             return []
-        runs = [st for st in fs.listStatus(parent)
-                if st.isDirectory() and st.getPath().getName().startswith("run-")]
-        mine = f"run-{self.run_id}"
-        others = sorted((st for st in runs if st.getPath().getName() != mine),
-                        key=lambda st: st.getModificationTime(), reverse=True)
+        others = []
+        for st in fs.listStatus(parent):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("run-") and name != f"run-{self.run_id}":
+                m = self._manifest(name.removeprefix("run-"))
+                if m and m["owner"] == self.owner and m["published"]:
+                    others.append(st)
+        others.sort(key=lambda st: st.getModificationTime(), reverse=True)
         dropped = []
         for st in others[max(keep - 1, 0):]:
             fs.delete(st.getPath(), True)
@@ -79,8 +154,9 @@ class LayerStore:
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: a durable lineage cut."""
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def run_concurrently(tasks: dict, max_workers: int = 6) -> dict:

@@ -41,6 +41,69 @@ def test_csv_quarantine_nulls_text_crlf(spark, tmpdir_path):
     assert quarantine_table(store, "crm_prd_info").first()[0].startswith("oops,")
 
 
+def test_csv_quotes_backslashes_and_null_markers(spark, tmpdir_path):
+    """RFC 4180 quoting; a backslash is a character; NaN and NULL are NULL in
+    number and date columns only."""
+    _write(tmpdir_path, "erp_px_cat_g1v2",
+           'id,cat,subcat,maintenance\n'
+           'AC_BR,"Bike ""Pro"", Racks",x,Yes\n'
+           'AC_BC,"ends with \\",y\\,"a,b"\n'
+           'AC_BD,NaN,NULL,""\n')
+    _write(tmpdir_path, "crm_prd_info",
+           "prd_id,prd_key,prd_nm,prd_cost,prd_line,prd_start_dt,prd_end_dt\n"
+           "1,K,NULL,NaN,R,2003-07-01,NULL\n"
+           "2,K,n, 12 ,R,2003-07-01 10:00:00,\n"
+           "3000000000,K,n,5,R,,\n"
+           "4,K,n,5\n"
+           "5,K,n,5,R,,,extra\n"
+           '6,K,n,"1,2",R,never,\n')
+    store = LayerStore(spark)
+    assert load_csv_table(store, tmpdir_path, "erp_px_cat_g1v2") == (3, 0)
+    rows = {r.id: r for r in bronze_table(store, "erp_px_cat_g1v2").collect()}
+    assert rows["AC_BR"].cat == 'Bike "Pro", Racks' and rows["AC_BR"].maintenance == "Yes"
+    assert rows["AC_BC"].cat == "ends with \\" and rows["AC_BC"].subcat == "y\\"
+    assert rows["AC_BD"].cat == "NaN" and rows["AC_BD"].subcat == "NULL"
+    assert rows["AC_BD"].maintenance is None
+    assert load_csv_table(store, tmpdir_path, "crm_prd_info") == (3, 3)
+    prd = {r.prd_id: r for r in bronze_table(store, "crm_prd_info").collect()}
+    assert prd[1].prd_cost is None and prd[1].prd_nm == "NULL" and prd[1].prd_end_dt is None
+    assert prd[2].prd_cost == 12 and prd[2].prd_start_dt.hour == 10 and 3000000000 in prd
+    bad = sorted(r[0] for r in quarantine_table(store, "crm_prd_info").collect())
+    assert bad == ["4,K,n,5", "5,K,n,5,R,,,extra", '6,K,n,"1,2",R,never,']
+
+
+def test_csv_own_null_markers(spark, tmpdir_path):
+    _write(tmpdir_path, "erp_loc_a101", "cid,cntry\nA,-\nB,?\nC,\nD,x\n")
+    store = LayerStore(spark)
+    load_csv_table(store, tmpdir_path, "erp_loc_a101", null_values=("-", "?"))
+    assert {r.cid: r.cntry for r in bronze_table(store, "erp_loc_a101").collect()} == {
+        "A": None, "B": None, "C": None, "D": "x"}
+
+
+def test_csv_header_only_loads_no_rows(spark, tmpdir_path):
+    _write(tmpdir_path, "erp_loc_a101", "cid,cntry\n")
+    store = LayerStore(spark)
+    assert load_csv_table(store, tmpdir_path, "erp_loc_a101") == (0, 0)
+    assert bronze_table(store, "erp_loc_a101").columns == ["cid", "cntry"]
+    assert bronze_table(store, "erp_loc_a101").count() == 0
+
+
+def test_csv_strict_mode_fails(spark, tmpdir_path):
+    path = _write(tmpdir_path, "erp_cust_az12", "cid,bdate,gen\nA,never,F\n")
+    with pytest.raises(Exception, match="malformed line"):
+        read_csv(spark, path, BRONZE["erp_cust_az12"], mode="FAILFAST").collect()
+
+
+def test_csv_round_trip_keeps_text(spark, tmpdir_path):
+    from strata.sources.csv import write_csv
+    rows = [(' a"b" ', "x\\"), ("", None), (None, ",,"), ('""', "\\N"), ("é", "'")]
+    df = spark.createDataFrame(rows, "cid string, cntry string")
+    write_csv(df, f"{tmpdir_path}/t", "\\NULL")
+    back = read_csv(spark, f"{tmpdir_path}/t", BRONZE["erp_loc_a101"], ("\\NULL",))
+    got = sorted(((r.cid, r.cntry) for r in back.collect()), key=str)
+    assert got == sorted(rows, key=str)
+
+
 def test_warehouse_from_existing_extracts(spark, tmpdir_path):
     """Extracts written as plain CSV (empty field = NULL) load through the same path."""
     from strata.plans.warehouse import Warehouse
@@ -51,7 +114,8 @@ def test_warehouse_from_existing_extracts(spark, tmpdir_path):
     land_sources(spark, {t: source_table(spark, sf, t) for t in TABLES}, tmpdir_path, "")
     w = Warehouse.from_csv(spark, tmpdir_path)
     audit = {r.table_name: r.row_count for r in w.load_bronze().collect()}
-    assert audit["crm_sales_details"] == 6000 and audit["crm_cust_info"] == 165
+    assert audit["crm_sales_details"] == 6000 and audit["crm_cust_info"] == 169
+    assert audit["(all)"] == sum(n for t, n in audit.items() if t != "(all)")
     ref = Warehouse(spark, sf)
     # '' and NULL both mean "unknown" after cleansing, so silver and gold agree
     for t in ("crm_cust_info", "erp_loc_a101", "erp_cust_az12"):
