@@ -4,7 +4,8 @@
     python -m strata --sf-dir /root/testdata/sf0.01      # derive the extracts first
 
 Loads bronze and silver, builds gold, publishes ``bronze.*``, ``silver.*``,
-``gold.*`` to the catalog, prints the load audits, the data-quality summary
+``gold.*`` to the session's catalog (``--publish``: to one that outlives it),
+prints the run id, the load audits, the data-quality summary
 and the KPI row, and with ``--out`` writes every analytics result as parquet.
 """
 
@@ -15,6 +16,7 @@ import argparse
 from strata.plans import quality
 from strata.plans.warehouse import Warehouse
 from strata.session import DEFAULT_AS_OF, build_session
+from strata.sources.store import LayerStore
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -23,7 +25,10 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--landing", help="folder with source_crm/ and source_erp/ CSV extracts")
     src.add_argument("--sf-dir", help="driver tables to derive the extracts from")
     ap.add_argument("--as-of", default=DEFAULT_AS_OF, help="'today' for date rules")
-    ap.add_argument("--null-value", default="", help="NULL marker in the extracts")
+    ap.add_argument("--null-value", action="append", help="NULL marker in the extracts (repeatable)")
+    ap.add_argument("--run-id", help="reopen this run instead of loading again")
+    ap.add_argument("--publish", action="store_true",
+                    help="the tables must stay in the catalog (an error if it is in-memory)")
     ap.add_argument("--strict", action="store_true", help="fail on impossible yyyymmdd dates")
     ap.add_argument("--out", help="write analytics results as parquet under this folder")
     ap.add_argument("--keep-runs", type=int, default=0,
@@ -31,13 +36,16 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = build_session()
+    store = LayerStore(spark, run_id=args.run_id)
     if args.landing:
-        w = Warehouse.from_csv(spark, args.landing, args.as_of, args.null_value, args.strict)
+        w = Warehouse.from_csv(spark, args.landing, args.as_of, tuple(args.null_value or ("",)),
+                               args.strict, store)
     else:
-        w = Warehouse(spark, args.sf_dir, args.as_of, strict=args.strict)
+        w = Warehouse(spark, args.sf_dir, args.as_of, store, args.strict)
+    print("run:", w.store.run_id)
     w.load_bronze().show(truncate=False)
     w.load_silver().show(truncate=False)
-    print("published:", ", ".join(w.publish_catalog()))
+    print("published:", ", ".join(w.publish_catalog(durable=args.publish)))
     if args.keep_runs:
         print("retired:", len(w.store.retire_older_runs(args.keep_runs)), "older run(s)")
     quality.data_quality_report(w).show(50, truncate=False)

@@ -67,38 +67,43 @@ def check_fk(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFra
     """Fact rows with no match in at least one dimension.
 
     ``dims`` holds (dimension, key, prefix); the output carries the fact
-    columns and every dimension column under its prefix.
+    columns and every dimension column under its prefix.  Only keys are
+    looked up for all rows; the attributes join the few rows that are left.
     """
-    out = fact
-    missing = []
+    flagged, missing = fact, []
+    for dim, key, _ in dims:
+        probe = f"_fk_{len(missing)}_"
+        flagged = lookup(flagged, dim.select(key), key, probe)
+        missing.append(F.col(probe + key))
+    bad = reduce(lambda a, b: a | b, [c.isNull() for c in missing])
+    out = flagged.filter(bad).select(*fact.columns)
     for dim, key, prefix in dims:
         out = lookup(out, dim, key, prefix)
-        missing.append(F.col(prefix + key).isNull())
-    return out.filter(reduce(lambda a, b: a | b, missing))
+    return out
 
 
 def profile(df: DataFrame, table: str) -> DataFrame:
     """Rows, NULL cells, NULL share of cells and duplicate rows beyond the first.
 
-    NULL cells come from one aggregate pass.  Duplicates are counted
-    exactly without shuffling whole rows: rows are first grouped by a
-    64-bit hash of the row (only hashes and partial counts move).  A row
-    whose hash occurs once is unique.  Only rows sharing a hash (copies, or
-    the rare collision) get an exact ``distinct``; their hash set is joined
-    with a semi join, broadcast when AQE finds it small.
+    One grouped pass by a 64-bit hash of the row gives rows, NULL cells and
+    the rows whose hash is their own (unique for certain); only hashes and
+    partial counts move.  Rows that share a hash (copies, or the rare
+    collision) are read again and get an exact ``distinct``.
     """
     n_cols = len(df.columns)
-    nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("null_cells"))
-    hashed = df.select("*", F.xxhash64(*[F.col(c) for c in df.columns]).alias("_pf_h"))
-    per_hash = hashed.groupBy("_pf_h").agg(F.count(F.lit(1)).alias("_pf_n"))
-    unique_rows = per_hash.filter(F.col("_pf_n") == 1).agg(F.count(F.lit(1))).scalar()
-    shared = hashed.join(per_hash.filter(F.col("_pf_n") > 1).select("_pf_h"), "_pf_h",
-                         "left_semi")
+    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    per_hash = df.select(row_hash.alias("_pf_h"), nulls.alias("_pf_x")).groupBy("_pf_h").agg(
+        F.count(F.lit(1)).alias("_pf_n"), F.sum("_pf_x").alias("_pf_x"))
+    stats = per_hash.agg(F.coalesce(F.sum("_pf_n"), F.lit(0)).alias("rows"),
+                         F.coalesce(F.sum("_pf_x"), F.lit(0)).alias("null_cells"),
+                         F.count_if(F.col("_pf_n") == 1).alias("unique_rows"))
+    shared = df.withColumn("_pf_h", row_hash).join(
+        per_hash.filter(F.col("_pf_n") > 1).select("_pf_h"), "_pf_h", "left_semi")
     distinct_shared = shared.drop("_pf_h").distinct().agg(F.count(F.lit(1))).scalar()
     cells = F.col("rows") * n_cols
     return stats.select(
         F.lit(table).alias("table_name"), F.col("rows").alias("row_count"), "null_cells",
         F.when(cells > 0, F.lit(100.0) * F.col("null_cells") / cells)
          .otherwise(F.lit(0.0)).alias("null_pct"),
-        (F.col("rows") - unique_rows - distinct_shared).alias("duplicates"))
+        (F.col("rows") - F.col("unique_rows") - distinct_shared).alias("duplicates"))

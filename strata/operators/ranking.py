@@ -19,24 +19,46 @@ top by taking the first row number of each group of equal keys.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import checkpoint_root
-from strata.sources.store import materialize
+from strata.sources.store import delete_folder, materialize
 
 _PART, _MID, _OFF, _TOTAL = "_rk_part", "_rk_mid", "_rk_off", "_rk_total"
 
+_FOLDER: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
 
 def scratch_root(spark) -> str:
     """This application's folder for ranking intermediates."""
     return f"{checkpoint_root(spark)}/strata/_work/{spark.sparkContext.applicationId}"
 
 
+@contextlib.contextmanager
+def scratch_of(spark):
+    """Intermediates made inside go to a folder that is deleted at the end.
+
+    For builds whose result is written inside: nothing refers to the
+    intermediates afterwards.
+    """
+    folder = f"{scratch_root(spark)}/build-{uuid.uuid4().hex[:12]}"
+    token = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        delete_folder(spark, folder)
+
+
 def _scratch(df: DataFrame, name: str) -> str:
-    return f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = _FOLDER.get() or scratch_root(df.sparkSession)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def global_row_number(df: DataFrame, order: list[Column], out: str = "rn",
@@ -86,54 +108,76 @@ def global_ntile(df: DataFrame, tiles: int, order: list[Column], out: str) -> Da
     return ranked.withColumn(out, tile.cast("long")).drop("_nt_rn", _TOTAL)
 
 
+def _chunked(ranked: DataFrame, rn: str, rows: int | None = None) -> DataFrame:
+    """Add ``_ck``: runs of consecutive row numbers, as many as the session has
+    shuffle partitions (or of ``rows`` each), so windows over a run are even,
+    and a table of one row per run is bounded by the partition count."""
+    runs = int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = F.lit(rows) if rows else F.greatest(
+        F.call_function("div", F.col(_TOTAL) + (runs - 1), F.lit(runs)), F.lit(1))
+    return ranked.withColumn("_ck", F.call_function("div", F.col(rn) - 1, size)).drop(_TOTAL)
+
+
 def global_rank(df: DataFrame, keys: list[str], ascending: list[bool],
                 tiebreak: list[Column], out: str) -> DataFrame:
     """RANK() OVER (ORDER BY keys): 1 + rows strictly before, ties share a rank.
 
-    Row numbers use ``keys`` + ``tiebreak`` so a hot key value is still
-    split across ranges; the rank of a group of equal keys is its smallest
-    row number (map-side partial aggregate, then a join on the keys with
-    null-safe equality; AQE splits a skewed key on the big side).
+    Row numbers use ``keys`` + ``tiebreak`` so a hot key value is still split
+    across ranges.  The rank of a group of equal keys is its smallest row
+    number: taken inside runs of consecutive row numbers, and for the groups
+    at a run's two ends from a small table of those ends (a group that spans
+    runs touches an end in each of them).
     """
     order = [(F.col(k).asc_nulls_first() if a else F.col(k).desc_nulls_last())
              for k, a in zip(keys, ascending)]
-    ranked = global_row_number(df, order + tiebreak, out="_rk_rn", name=f"rank_{out}")
-    firsts = ranked.groupBy(*keys).agg(F.min("_rk_rn").alias(out))
-    fk = [f"_rk_k{i}" for i in range(len(keys))]
-    firsts = firsts.select(*[F.col(k).alias(a) for k, a in zip(keys, fk)], out)
-    cond = [ranked[k].eqNullSafe(firsts[a]) for k, a in zip(keys, fk)]
-    return ranked.join(firsts, cond, "inner").drop("_rk_rn", *fk)
+    ranked = _chunked(global_row_number(df, order + tiebreak, out="_rk_rn", keep_total=True,
+                                        name=f"rank_{out}"), "_rk_rn")
+    group = F.struct(*[F.col(k) for k in keys])
+    run = Window.partitionBy("_ck").orderBy("_rk_rn")
+    same = Window.partitionBy("_ck", *keys)
+    local = ranked.withColumn("_rk_lo", F.min("_rk_rn").over(same))
+    local = materialize(local.withColumn("_rk_last", F.lead("_rk_rn").over(run).isNull())
+                        .withColumn("_rk_first", F.lag("_rk_rn").over(run).isNull()),
+                        _scratch(df, f"rank_{out}"))
+    # at most two rows per run
+    ends = (local.filter("_rk_last or _rk_first").groupBy(group.alias("_rk_k"))
+            .agg(F.min("_rk_lo").alias("_rk_start")))
+    joined = local.join(F.broadcast(ends), group.eqNullSafe(F.col("_rk_k")), "left")
+    return (joined.withColumn(out, F.coalesce("_rk_start", "_rk_lo"))
+            .drop("_rk_rn", "_ck", "_rk_lo", "_rk_last", "_rk_first", "_rk_k", "_rk_start"))
 
 
 def next_in_sequence(df: DataFrame, group: str, order: list[Column], cols: list[str],
-                     prefix: str = "next_", chunk_rows: int = 1_000_000) -> DataFrame:
+                     prefix: str = "next_", chunk_rows: int | None = None) -> DataFrame:
     """LEAD(col) OVER (PARTITION BY group ORDER BY order) for each of ``cols``.
 
-    Rows get global row numbers over (group, order), so one huge group
-    never lands in a single task.  LEAD is then taken inside fixed chunks
-    of ``chunk_rows`` consecutive row numbers (a window whose partitions are
-    bounded by construction).  Only the last row of a chunk needs the first
-    row of the next chunk; those firsts form a table of one row per chunk,
-    broadcast to patch them.  The result is one shuffle, not a two-sided join.
+    Rows get global row numbers over (group, order), so one huge group never
+    lands in a single task.  LEAD is then taken inside runs of consecutive row
+    numbers (one shuffle on the run; runs are even and as many as the shuffle
+    partitions).  Only the last row of a run needs the first row of the next
+    one; those firsts are one row per run, broadcast to patch them.
     """
-    seq = global_row_number(df, [F.col(group).asc_nulls_first()] + order, out="_nx_rn",
-                            name="lead")
-    rn = F.col("_nx_rn")
-    seq = seq.withColumn("_nx_chunk", F.call_function("div", rn - 1, F.lit(chunk_rows)))
-    w = Window.partitionBy("_nx_chunk").orderBy("_nx_rn")
-    within = seq.select("*", F.lead(group).over(w).alias("_nx_group"),
+    seq = _chunked(global_row_number(df, [F.col(group).asc_nulls_first()] + order, out="_nx_rn",
+                                     keep_total=True, name="lead"), "_nx_rn", chunk_rows)
+    w = Window.partitionBy("_ck").orderBy("_nx_rn")
+    within = seq.select("*", F.lead("_nx_rn").over(w).isNull().alias("_nx_last"),
+                        F.lead(group).over(w).alias("_nx_group"),
                         *[F.lead(c).over(w).alias(f"_nx_{c}") for c in cols])
-    firsts = (seq.filter((rn - 1) % chunk_rows == 0)
-              .select((rn - 1).alias("_nx_prev"), F.col(group).alias("_nx_pgroup"),
-                      *[F.col(c).alias(f"_nx_p{c}") for c in cols]))
-    joined = within.join(F.broadcast(firsts), within["_nx_rn"] == firsts["_nx_prev"], "left")
-    last = rn % chunk_rows == 0
+    first = F.min(F.struct("_nx_rn", group, *cols))
+    firsts = seq.groupBy("_ck").agg(first.alias("_nx_f")).select(
+        (F.col("_ck") - 1).alias("_nx_prev"), F.col(f"_nx_f.{group}").alias("_nx_pgroup"),
+        *[F.col(f"_nx_f.{c}").alias(f"_nx_p{c}") for c in cols])
+    joined = within.join(F.broadcast(firsts),
+                         (F.col("_ck") == F.col("_nx_prev")) & F.col("_nx_last"), "left")
+    last = F.col("_nx_last")
     nxt_group = F.when(last, F.col("_nx_pgroup")).otherwise(F.col("_nx_group"))
-    same = nxt_group.eqNullSafe(F.col(group))
+    # the very last row of all has no next row, even within a NULL group
+    exists = ~last | F.col("_nx_prev").isNotNull()
+    same = exists & nxt_group.eqNullSafe(F.col(group))
     for c in cols:
         nxt = F.when(last, F.col(f"_nx_p{c}")).otherwise(F.col(f"_nx_{c}"))
         joined = joined.withColumn(f"{prefix}{c}", F.when(same, nxt))
-    return joined.drop("_nx_rn", "_nx_chunk", "_nx_group", "_nx_prev", "_nx_pgroup",
+    return joined.drop("_nx_rn", "_ck", "_nx_last", "_nx_group", "_nx_prev", "_nx_pgroup",
                        *[f"_nx_{c}" for c in cols], *[f"_nx_p{c}" for c in cols])
 
 
@@ -143,34 +187,39 @@ def multi_ntile(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]],
 
     ``keys`` maps an output name to (integer column, ascending); ascending
     puts NULLs first, descending puts them last.  ``unique`` is a key of
-    ``df`` and breaks ties in every order.  Each row is stacked once per
-    output (score type, NULL flag, signed key), one global row numbering
-    ranks all stacks together (each stack holds exactly N rows, so the
-    position inside stack t is rn - t * N), and one grouped aggregate on
-    ``unique`` folds the tiles back onto the row (the other columns depend
-    on ``unique``, so their max is the row's value).
+    ``df`` and breaks ties in every order.  Only the order's columns are
+    ranked, stacked once per output (each stack holds exactly N rows, so the
+    position inside stack t is rn - t * N).  A tile needs no row's full rank:
+    the rows at the ``tiles - 1`` cuts of each stack (a handful, kept as
+    literals) tell every row its tile by comparison, without a join.
     """
-    entries = []
-    for i, (col, asc) in enumerate(keys.values()):
+    def order_of(col: str, asc: bool) -> Column:
         c = F.col(col).cast("long")
-        null_flag = F.when(c.isNull(), 0 if asc else 1).otherwise(1 if asc else 0)
-        entries.append(F.struct(F.lit(i).alias("_mt_t"), null_flag.alias("_mt_f"),
-                                (c if asc else -c).alias("_mt_k")))
-    stacked = (df.select("*", F.explode(F.array(*entries)).alias("_mt"))
-               .select(*df.columns, "_mt._mt_t", "_mt._mt_f", "_mt._mt_k"))
-    order = ([F.col("_mt_t").asc(), F.col("_mt_f").asc(), F.col("_mt_k").asc_nulls_first()]
-             + [F.col(u).asc_nulls_first() for u in unique])
-    ranked = global_row_number(stacked, order, out="_mt_rn", keep_total=True, name="multi_ntile")
+        flag = F.when(c.isNull(), 0 if asc else 1).otherwise(1 if asc else 0)
+        return F.struct(flag.alias("f"), (c if asc else -c).alias("k"),
+                        *[F.col(u) for u in unique])
+
+    orders = [order_of(col, asc) for col, asc in keys.values()]
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("t"), o.alias("o"))
+                                            for i, o in enumerate(orders)])).alias("x")).select(
+        F.col("x.t").alias("_mt_t"), F.col("x.o").alias("_mt_o"))
+    ranked = global_row_number(stacked, [F.col("_mt_t").asc(), F.col("_mt_o").asc()],
+                               out="_mt_rn", keep_total=True, name="multi_ntile")
     n = F.call_function("div", F.col(_TOTAL), F.lit(len(keys)))
-    rn = F.col("_mt_rn") - F.col("_mt_t") * n
-    q = F.call_function("div", n, F.lit(tiles))
-    r = n % tiles
-    big = r * (q + 1)
-    tile = (F.when(rn <= big, F.call_function("div", rn - 1, q + 1) + 1)
-            .otherwise(r + F.call_function("div", rn - 1 - big, F.nullif(q, F.lit(0))) + 1))
-    rest = [c for c in df.columns if c not in unique]
-    folded = (ranked.groupBy(*unique)
-              .agg(*[F.max(c).alias(c) for c in rest],
-                   *[F.max(F.when(F.col("_mt_t") == i, tile)).cast("long").alias(name)
-                     for i, name in enumerate(keys)]))
-    return folded.select(*df.columns, *keys)
+    q, r = F.call_function("div", n, F.lit(tiles)), n % tiles
+    ends = F.array(*[q * i + F.least(r, F.lit(i)) for i in range(1, tiles)])
+    at = F.col("_mt_rn") - F.col("_mt_t") * n
+    cuts = ranked.filter(F.array_contains(ends, at)).select("_mt_t", "_mt_o").collect()
+    kind = df.select(orders[0].alias("o")).schema["o"].dataType
+    scored = df
+    for i, (name, o) in enumerate(zip(keys, orders)):
+        tile = F.lit(1)
+        for row in cuts:
+            if row["_mt_t"] == i:
+                tile = tile + (o > _literal(row["_mt_o"], kind)).cast("long")
+        scored = scored.withColumn(name, tile.cast("long"))
+    return scored.select(*df.columns, *keys)
+
+
+def _literal(value, kind: T.StructType) -> Column:
+    return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in kind])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from strata.schemas import TABLES
 from strata.session import DEFAULT_AS_OF
-from strata.sources.fixtures import fixture_sql
+from strata.sources.fixtures import fixture_sql, malformed_sql
 
 AS_OF = f"DATE '{DEFAULT_AS_OF}'"
 
@@ -70,7 +70,7 @@ SELECT sls_ord_num, sls_prd_key, sls_cust_id,
        THEN sls_quantity * abs(sls_price) ELSE sls_sales END AS sls_sales,
   sls_quantity,
   CASE WHEN sls_price IS NULL OR sls_price <= 0
-       THEN CAST(sls_sales // NULLIF(sls_quantity, 0) AS INTEGER) ELSE sls_price END AS sls_price
+       THEN CAST(sls_sales // NULLIF(sls_quantity, 0) AS BIGINT) ELSE sls_price END AS sls_price
 FROM b_crm_sales_details""", ["b_crm_sales_details"])
 
 CTES["s_erp_cust_az12"] = (f"""
@@ -430,7 +430,8 @@ _REPORT = [
     ("gold", "bad_sales_amount", "SELECT count(*) FROM g_fact_sales WHERE sales_amount <= 0 "
      "OR sales_amount IS NULL"),
 ]
-_q("data_quality_report", "SELECT layer, check_name, violations, violations = 0 AS passed FROM ("
+_q("data_quality_report", "SELECT layer, check_name, violations, violations = 0 AS passed, "
+   f"'{DEFAULT_AS_OF} 00:00:00' AS run_date FROM ("
    + " UNION ALL ".join(f"SELECT '{lay}' AS layer, '{n}' AS check_name, ({s}) AS violations"
                         for lay, n, s in _REPORT) + ") r",
    [f"b_{t}" for t in TABLES] + [f"s_{t}" for t in TABLES] + _GOLD)
@@ -449,16 +450,53 @@ def _profile(t: str) -> str:
 
 
 _q("profile_tables", " UNION ALL ".join(_profile(t) for t in TABLES), [f"b_{t}" for t in TABLES])
-_q("bronze_load_audit", " UNION ALL ".join(
-    f"SELECT 'bronze' AS layer, '{t}' AS table_name, count(*) AS row_count, "
-    f"CAST(0 AS BIGINT) AS quarantined, 'loaded' AS status FROM b_{t}" for t in TABLES),
-   [f"b_{t}" for t in TABLES])
-_q("silver_load_audit", " UNION ALL ".join(
-    f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS row_count, "
-    f"CAST(0 AS BIGINT) AS quarantined, 'loaded' AS status FROM s_{t}" for t in TABLES),
+
+
+def _quarantined(t: str) -> str:
+    q = malformed_sql(t)
+    return f"(SELECT count(*) FROM ({q}) q)" if q else "CAST(0 AS BIGINT)"
+
+
+def _audit(layer: str, prefix: str, bad) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count, "
+        f"{bad(t)} AS quarantined, 'loaded' AS status FROM {prefix}_{t}" for t in TABLES)
+    return (f"SELECT * FROM ({rows}) a UNION ALL SELECT '{layer}', '(all)', "
+            f"CAST(sum(row_count) AS BIGINT), CAST(sum(quarantined) AS BIGINT), 'loaded' FROM ({rows}) b")
+
+
+_q("bronze_load_audit", _audit("bronze", "b", _quarantined), [f"b_{t}" for t in TABLES])
+_q("silver_load_audit", _audit("silver", "s", lambda t: "CAST(0 AS BIGINT)"),
    [f"s_{t}" for t in TABLES])
 
 
+# ---- the same checks over frames that hold violations (some rows twice)
+for _key, _col, _tab, _cnt, _null in (
+        ("check_cust_id_unique", "cst_id", "s_crm_cust_info", "row_count", " OR cst_id IS NULL"),
+        ("check_customer_key_unique", "customer_key", "g_dim_customers", "duplicate_count", ""),
+        ("check_product_key_unique", "product_key", "g_dim_products", "duplicate_count", ""),
+        ("report_dup_cust", "cst_id", "s_crm_cust_info", "duplicate_count", ""),
+        ("report_dup_customer_key", "customer_key", "g_dim_customers", "dup_count", ""),
+        ("report_dup_product_key", "product_key", "g_dim_products", "dup_count", "")):
+    _q(f"{_key}_violated", f"SELECT {_col}, count(*) AS {_cnt} FROM (SELECT {_col} FROM {_tab} "
+       f"UNION ALL SELECT {_col} FROM {_tab} WHERE {_col} % 7 = 0) d "
+       f"GROUP BY {_col} HAVING count(*) > 1{_null}", [_tab])
+
+CTES["a_product_ties"] = (f"""
+SELECT *,
+  {ratio_sql('total_revenue', 'sum(total_revenue) OVER ()', 2)} AS pct_of_total,
+  CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS BIGINT) AS revenue_rank,
+  {ratio_sql('avg_selling_price - unit_cost', 'avg_selling_price', 1)} AS est_margin_pct
+FROM (SELECT * REPLACE (CAST(total_revenue // 100000 AS BIGINT) AS total_revenue) FROM a_product_sales) t""",
+                          ["a_product_sales"])
+_q("product_performance_ties", f"""
+SELECT 'Top 10' AS tier, {_PP_COLS} FROM a_product_ties WHERE revenue_rank <= 10
+UNION ALL
+SELECT 'Bottom 10' AS tier, {_PP_COLS} FROM a_product_ties
+WHERE revenue_rank > (SELECT count(*) FROM a_product_ties) - 10 AND total_revenue > 0""",
+   ["a_product_ties"])
+
+
 # ---- exact variants (decimals kept where the source engine averaged integers)
 CTES["a_product_sales_exact"] = (f"""
 SELECT p.product_name, p.category, p.subcategory, p.product_line,

@@ -74,13 +74,22 @@ def rfm_segments(scored: DataFrame) -> DataFrame:
                     "recency_days", "frequency", F.col("monetary").alias("lifetime_value"),
                     "r_score", "f_score", "m_score", "rfm_total",
                     segment.alias("segment"))
-            .orderBy(F.col("rfm_total").desc_nulls_last()))
+            # the key behind the total keeps the 13 totals from being 13 tasks
+            .orderBy(F.col("rfm_total").desc_nulls_last(), *_asc("customer_id", "customer_name",
+                                                                 "country")))
 
 
 # ---------------------------------------------------------------- trend
 def monthly_revenue(fact: DataFrame) -> DataFrame:
-    return (fact.filter(F.col("order_date").isNotNull())
-            .groupBy(F.trunc("order_date", "MM").alias("month_start"))
+    """Per month: revenue, distinct orders, distinct customers.
+
+    Order lines are first summed per (month, order, customer), so the
+    distinct counts expand the reduced rows and not the fact.
+    """
+    orders = (fact.filter(F.col("order_date").isNotNull())
+              .groupBy(F.trunc("order_date", "MM").alias("month_start"), "order_number",
+                       "customer_key").agg(F.sum("sales_amount").alias("sales_amount")))
+    return (orders.groupBy("month_start")
             .agg(F.sum("sales_amount").alias("revenue"),
                  F.countDistinct("order_number").alias("order_count"),
                  F.countDistinct("customer_key").alias("unique_customers")))
@@ -166,24 +175,34 @@ def top_by_revenue(base: DataFrame, key: Column, name: str, label=None) -> DataF
             .limit(1))
 
 
-def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame, exact: bool = False) -> DataFrame:
-    """The KPI row; ``exact`` keeps the decimals of the average order value."""
-    valid = fact.filter(F.col("order_date").isNotNull())
-    base = sales_base(fact, dp, dc)
+def kpi_base(fact: DataFrame, dp: DataFrame, dc: DataFrame) -> DataFrame:
+    """Sums per (order, customer, product, month) of sales with a known
+    customer, with country and (if known) product name: all that the KPI row
+    needs, from one scan of the fact and one join to each dimension."""
+    lines = (fact.filter(F.col("order_date").isNotNull())
+             .groupBy("order_number", "customer_key", "product_key",
+                      F.trunc("order_date", "MM").alias("order_date"))
+             .agg(F.sum("sales_amount").alias("sales_amount"), F.sum("quantity").alias("quantity")))
+    known = dp.select("product_key", "product_name", F.lit(True).alias("has_product"))
+    return (lines.join(dc.select("customer_key", "country"), "customer_key")
+            .join(known, "product_key", "left"))
+
+
+def kpi_summary(fact: DataFrame, dp: DataFrame, dc: DataFrame, exact: bool = False,
+                base: DataFrame | None = None) -> DataFrame:
+    """The KPI row; ``exact`` keeps the decimals of the average order value.
+    ``base`` is a written ``kpi_base`` of the same tables, if there is one."""
+    base = kpi_base(fact, dp, dc) if base is None else base
     orders = F.countDistinct("order_number")
-    # customer_key is unique in the dimension: a semi join keeps exactly the
-    # rows the inner join would, without carrying the dimension side.
-    totals = (valid.select("customer_key", "order_number", "sales_amount", "quantity")
-              .join(dc.select("customer_key"), "customer_key", "left_semi")
-              .agg(F.sum("sales_amount").alias("total_revenue"),
-                   (round_ratio(F.sum("sales_amount"), orders, 2, scale=1) if exact
-                    else int_div(F.sum("sales_amount"), orders)).alias("avg_order_value"),
-                   orders.alias("total_orders"),
-                   F.countDistinct("customer_key").alias("unique_customers"),
-                   round_ratio(F.sum("quantity"), orders, 1, scale=1)
-                    .alias("avg_items_per_order")))
+    totals = base.agg(F.sum("sales_amount").alias("total_revenue"),
+                      (round_ratio(F.sum("sales_amount"), orders, 2, scale=1) if exact
+                       else int_div(F.sum("sales_amount"), orders)).alias("avg_order_value"),
+                      orders.alias("total_orders"),
+                      F.countDistinct("customer_key").alias("unique_customers"),
+                      round_ratio(F.sum("quantity"), orders, 1, scale=1)
+                      .alias("avg_items_per_order"))
     # One scalar subquery carries the three labels; empty input gives NULLs.
-    tops = top_labels(base).select(F.struct(*_TOP_SETS).alias("_t")).scalar()
+    tops = top_labels(base.filter("has_product")).select(F.struct(*_TOP_SETS).alias("_t")).scalar()
     return totals.select("*", tops.alias("_t")).select(
         *totals.columns, *[F.col(f"_t.{n}").alias(n) for n in _TOP_SETS])
 

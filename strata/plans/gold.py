@@ -8,23 +8,14 @@ from pyspark.sql import functions as F
 from strata.operators.checks import lookup
 from strata.operators.ranking import surrogate_key
 
-# A side is hinted for broadcast only when its counted row number is below
-# this bound; bigger sides are left to a shuffle join (and AQE's own
-# runtime size check).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count (cheap on a written parquet table)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def dim_customers(ci: DataFrame, ca: DataFrame, la: DataFrame) -> DataFrame:
     """CRM customers + ERP birthdate/gender + ERP country, keyed by cst_id order."""
-    ca = ca.select(F.col("cid").alias("_ca_cid"), "bdate", "gen")
-    la = la.select(F.col("cid").alias("_la_cid"), "cntry")
-    j = (ci.join(ca, ci.cst_key == ca._ca_cid, "left")
-           .join(la, ci.cst_key == la._la_cid, "left"))
+    ca = ca.select(F.col("cid").alias("cst_key"), "bdate", "gen")
+    la = la.select(F.col("cid").alias("cst_key"), "cntry")
+    j = lookup(lookup(ci, ca, "cst_key", "_ca_"), la, "cst_key", "_la_")
+    j = j.select(*ci.columns, F.col("_ca_bdate").alias("bdate"), F.col("_ca_gen").alias("gen"),
+                 F.col("_la_cntry").alias("cntry"))
     keyed = surrogate_key(j, [F.col(c).asc_nulls_first() for c in
                               ("cst_id", "cst_key", "bdate", "gen", "cntry")], "customer_key")
     gender = (F.when(F.col("cst_gndr") != "n/a", F.col("cst_gndr"))
@@ -44,7 +35,7 @@ def dim_customers(ci: DataFrame, ca: DataFrame, la: DataFrame) -> DataFrame:
 
 def dim_products(pn: DataFrame, pc: DataFrame) -> DataFrame:
     """Current product versions + category attributes, keyed by (start, key)."""
-    pc = broadcast_if_small(pc.select(F.col("id").alias("_pc_id"), "cat", "subcat", "maintenance"))
+    pc = pc.select(F.col("id").alias("_pc_id"), "cat", "subcat", "maintenance")
     cur = pn.filter(F.col("prd_end_dt").isNull())
     j = cur.join(pc, cur.cat_id == pc._pc_id, "left")
     keyed = surrogate_key(j, [F.col(c).asc_nulls_first() for c in

@@ -43,7 +43,7 @@ def bad_date_order() -> Column:
 
 
 def bad_amounts(tolerance: int | None = None) -> Column:
-    s, q, p = F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price")
+    s, q, p = [F.col(c).cast("long") for c in ("sls_sales", "sls_quantity", "sls_price")]
     mismatch = (s != q * p) if tolerance is None else (F.abs(s - q * p) > tolerance)
     return _any(mismatch, s.isNull(), q.isNull(), p.isNull(), s <= 0, q <= 0, p <= 0)
 
@@ -172,7 +172,8 @@ def report_bad_cost(w) -> DataFrame:
 def report_sales_mismatch(w) -> DataFrame:
     return (w.silver("crm_sales_details").filter(bad_amounts(tolerance=1))
             .select("sls_ord_num", "sls_quantity", "sls_price", "sls_sales",
-                    (F.col("sls_quantity") * F.col("sls_price")).alias("expected_sales")))
+                    (F.col("sls_quantity").cast("long") * F.col("sls_price").cast("long"))
+                    .alias("expected_sales")))
 
 
 def report_date_order(w) -> DataFrame:
@@ -258,7 +259,8 @@ def data_quality_report(w) -> DataFrame:
                                     "bad_sales_amount": bad_amount()}),
     ]
     out = reduce(DataFrame.unionAll, parts)
-    return out.withColumn("passed", F.col("violations") == 0)
+    run_date = F.date_format(F.lit(w.as_of).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    return out.withColumn("passed", F.col("violations") == 0).withColumn("run_date", run_date)
 
 
 def check_fk_flags(w) -> DataFrame:
@@ -284,7 +286,26 @@ def silver_load_audit(w) -> DataFrame:
     return w.load_silver().drop("seconds")
 
 
+def with_copies(df: DataFrame, key: str) -> DataFrame:
+    """The keys of ``df``, those divisible by 7 twice: a frame on which a
+    uniqueness check must fire (the warehouse's own keys are unique)."""
+    k = df.select(key)
+    return k.unionAll(k.filter(F.col(key) % 7 == 0))
+
+
 CHECKS: dict[str, Callable] = {
+    "check_cust_id_unique_violated": lambda w: check_unique(
+        with_copies(w.silver("crm_cust_info"), "cst_id"), "cst_id", null_is_violation=True),
+    "check_customer_key_unique_violated": lambda w: check_unique(
+        with_copies(w.gold("dim_customers"), "customer_key"), "customer_key", "duplicate_count"),
+    "check_product_key_unique_violated": lambda w: check_unique(
+        with_copies(w.gold("dim_products"), "product_key"), "product_key", "duplicate_count"),
+    "report_dup_cust_violated": lambda w: check_unique(
+        with_copies(w.silver("crm_cust_info"), "cst_id"), "cst_id", "duplicate_count"),
+    "report_dup_customer_key_violated": lambda w: check_unique(
+        with_copies(w.gold("dim_customers"), "customer_key"), "customer_key", "dup_count"),
+    "report_dup_product_key_violated": lambda w: check_unique(
+        with_copies(w.gold("dim_products"), "product_key"), "product_key", "dup_count"),
     "check_cust_id_unique": check_cust_id_unique,
     "check_cust_key_trim": check_cust_key_trim,
     "domain_marital_status": lambda w: domain(w.silver("crm_cust_info"), "cst_marital_status"),

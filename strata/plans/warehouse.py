@@ -9,18 +9,21 @@ its own tasks.
 
 from __future__ import annotations
 
-import os
+import hashlib
 import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.operators.ranking import scratch_of, scratch_root
 from strata.plans import analytics, gold, silver
 from strata.schemas import SILVER_COLUMNS, TABLES
 from strata.session import DEFAULT_AS_OF
 from strata.sources import bronze as bronze_src
-from strata.sources.fixtures import source_table
-from strata.sources.store import LayerStore, run_concurrently
+from strata.sources.csv import CORRUPT
+from strata.sources.fixtures import malformed, source_table
+from strata.sources.store import LayerStore, delete_folder, hadoop_path, run_concurrently
 
 # Null marker of the landing extracts written here ('' stays an empty string).
 LANDING_NULL = "\\N"
@@ -29,16 +32,29 @@ LANDING_NULL = "\\N"
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None, as_of: str = DEFAULT_AS_OF,
                  store: LayerStore | None = None, strict: bool = False):
+        """``store`` of an earlier run (``LayerStore(spark, run_id=...)``)
+        reopens it: what it has written is not loaded again.  It must have
+        been made from the same input."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.strict = strict
         self.store = store or LayerStore(spark)
         self.landing_dir = f"{self.store.root}/landing"
-        self.null_value = LANDING_NULL
+        self.null_values: tuple[str, ...] = (LANDING_NULL,)
         self._audit: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._locks_guard = threading.Lock()
+        if sf_dir is not None:
+            self._same_input(sf_dir)
+
+    def _same_input(self, folder: str) -> None:
+        now = [input_state(self.spark, folder), self.as_of, self.strict]
+        before = self.store.noted("input")
+        if before is None:
+            self.store.note(input=now)
+        elif before != now:
+            raise ValueError(f"run {self.store.run_id} was made from another input or date")
 
     def _lock(self, name: str) -> threading.Lock:
         """One lock per layer or table: concurrent callers build each once.
@@ -52,15 +68,17 @@ class Warehouse:
 
     @classmethod
     def from_csv(cls, spark: SparkSession, landing_dir: str, as_of: str = DEFAULT_AS_OF,
-                 null_value: str = "", strict: bool = False) -> "Warehouse":
+                 null_values: tuple[str, ...] = ("",), strict: bool = False,
+                 store: LayerStore | None = None) -> "Warehouse":
         """A run over existing extracts (``source_crm/…``, ``source_erp/…``).
 
-        An empty field is NULL by default (``null_value=""``); the text
-        ``n/a`` stays text.
+        A field equal to one of ``null_values`` is NULL (by default the empty
+        field); in a text column the text ``n/a`` stays text.
         """
-        w = cls(spark, None, as_of, strict=strict)
+        w = cls(spark, None, as_of, store=store, strict=strict)
         w.landing_dir = landing_dir.rstrip("/")
-        w.null_value = null_value
+        w.null_values = tuple(null_values)
+        w._same_input(w.landing_dir)
         w._audit["landed"] = None
         return w
 
@@ -72,17 +90,26 @@ class Warehouse:
         with self._lock("landed"):
             if "landed" not in self._audit:
                 tables = {t: source_table(self.spark, self.sf_dir, t) for t in TABLES}
-                bronze_src.land_sources(self.spark, tables, self.landing_dir, LANDING_NULL)
+                bronze_src.land_sources(self.spark, tables, self.landing_dir, LANDING_NULL,
+                                        malformed(self.spark, self.sf_dir))
                 self._audit["landed"] = None
 
+    def _audited(self, layer: str, load) -> DataFrame:
+        """The audit of a layer's load, which runs once (also if reopened)."""
+        if layer not in self._audit:
+            with self._lock(layer):
+                if layer not in self._audit:
+                    self._audit[layer] = (
+                        self.store.read("audit", layer) if self.store.has("audit", layer)
+                        else self.store.write(load(), "audit", layer))
+        return self._audit[layer]
+
     def load_bronze(self) -> DataFrame:
-        if "bronze" not in self._audit:
-            with self._lock("bronze"):
-                if "bronze" not in self._audit:
-                    self.land()
-                    self._audit["bronze"] = bronze_src.load_bronze(
-                        self.store, self.landing_dir, self.null_value)
-        return self._audit["bronze"]
+        def load() -> DataFrame:
+            self.land()
+            return bronze_src.load_bronze(self.store, self.landing_dir, self.null_values)
+
+        return self._audited("bronze", load)
 
     def bronze(self, table: str) -> DataFrame:
         self.load_bronze()
@@ -94,24 +121,24 @@ class Warehouse:
 
     # ------------------------------------------------------------ silver
     def load_silver(self) -> DataFrame:
-        if "silver" in self._audit:
-            return self._audit["silver"]
-        with self._lock("silver"):
-            if "silver" in self._audit:
-                return self._audit["silver"]
+        def load() -> DataFrame:
             self.load_bronze()  # prerequisites in this thread, before fanning out
+            began = time.time()
 
             def one(table: str):
                 t0 = time.time()
-                out = self.store.write(
-                    silver.build(table, self.bronze(table), self.as_of, self.strict),
-                    "silver", table)
+                with scratch_of(self.spark):
+                    out = self.store.write(
+                        silver.build(table, self.bronze(table), self.as_of, self.strict),
+                        "silver", table)
                 return ("silver", table, out.count(), 0, round(time.time() - t0, 3), "loaded")
 
             done = run_concurrently({t: (lambda t=t: one(t)) for t in TABLES})
-            self._audit["silver"] = self.spark.createDataFrame([done[t] for t in TABLES],
-                                                               bronze_src.AUDIT_SCHEMA)
-        return self._audit["silver"]
+            return self.spark.createDataFrame(
+                bronze_src.with_total("silver", [done[t] for t in TABLES], time.time() - began),
+                bronze_src.AUDIT_SCHEMA)
+
+        return self._audited("silver", load)
 
     def silver(self, table: str, with_load_ts: bool = False) -> DataFrame:
         self.load_silver()
@@ -123,7 +150,8 @@ class Warehouse:
         if not self.store.has(layer, name):
             with self._lock(f"{layer}/{name}"):
                 if not self.store.has(layer, name):
-                    self.store.write(build(), layer, name)
+                    with scratch_of(self.spark):  # nothing of it is left afterwards
+                        self.store.write(build(), layer, name)
         return self.store.read(layer, name)
 
     def gold(self, name: str) -> DataFrame:
@@ -169,9 +197,13 @@ class Warehouse:
         return analytics.sales_base(self.gold("fact_sales"), self.gold("dim_products"),
                                     self.gold("dim_customers"))
 
+    def kpi_base(self) -> DataFrame:
+        return self._write_once("work", "kpi_base", lambda: analytics.kpi_base(
+            self.gold("fact_sales"), self.gold("dim_products"), self.gold("dim_customers")))
+
     def kpi_summary(self, exact: bool = False) -> DataFrame:
         return analytics.kpi_summary(self.gold("fact_sales"), self.gold("dim_products"),
-                                     self.gold("dim_customers"), exact)
+                                     self.gold("dim_customers"), exact, self.kpi_base())
 
     def product_sales(self, exact: bool = False) -> DataFrame:
         name = "product_sales_exact" if exact else "product_sales"
@@ -183,27 +215,35 @@ class Warehouse:
         return self._write_once("work", name, lambda: analytics.product_ranked(
             self.product_sales(exact), exact))
 
+    def product_ties(self) -> DataFrame:
+        """Best and worst products by revenue in whole 100,000s: ranks tie."""
+        coarse = lambda ps: ps.withColumn(
+            "total_revenue", F.call_function("div", F.col("total_revenue"), F.lit(100000)))
+        return analytics.top_bottom(self._write_once(
+            "work", "product_ties", lambda: analytics.product_ranked(coarse(self.product_sales()))))
+
     def product_performance(self, n: int = 10, exact: bool = False) -> DataFrame:
         return analytics.top_bottom(self.product_ranked(exact), n)
 
-
     # ------------------------------------------------------------ housekeeping
     def drop_scratch(self) -> None:
         """Delete the ranking scratch folders (every consumer reads layer tables)."""
-        from strata.operators.ranking import scratch_root
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(scratch_root(self.spark))
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            fs.delete(path, True)
+        delete_folder(self.spark, scratch_root(self.spark))
 
     # ------------------------------------------------------------ catalog
-    def publish_catalog(self) -> list[str]:
+    def publish_catalog(self, durable: bool = False) -> list[str]:
         """Register the run's tables as ``bronze.*``, ``silver.*``, ``gold.*``.
 
-        External tables over the run's folders (databases located under the
-        checkpoint root), so users can query every layer with SQL.
+        Views over the run's folders, replaced in one step, in databases whose
+        location lies outside the runs.  With ``durable`` the session's
+        catalog must outlive it; otherwise an in-memory catalog serves this
+        session.
         """
+        kind = self.spark.conf.get("spark.sql.catalogImplementation")
+        if durable and kind == "in-memory":
+            raise RuntimeError("the catalog is in-memory: nobody could query the tables after this "
+                               "session; start it with a persistent catalog (for example "
+                               "spark.sql.catalogImplementation=hive)")
         self.load_silver()
         for g in ("dim_customers", "dim_products", "fact_sales"):
             self.gold(g)
@@ -211,31 +251,37 @@ class Warehouse:
         for layer, tables in (("bronze", TABLES), ("silver", TABLES),
                               ("gold", ["dim_customers", "dim_products", "fact_sales"])):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} "
-                           f"LOCATION '{self.store.root}/catalog/{layer}'")
+                           f"LOCATION '{self.store.base}/catalog/{layer}'")
             for t in tables:
-                if layer == "bronze":
-                    # clean rows of the single-pass staged load (quarantine excluded)
-                    cols = ", ".join(self.bronze(t).columns)
-                    path = self.store.path("bronze_staged", t)
-                    self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{t} AS SELECT {cols} "
-                                   f"FROM parquet.`{path}` WHERE NOT CAST(_bad AS BOOLEAN)")
-                else:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{t}")
-                    self.spark.sql(f"CREATE TABLE {layer}.{t} USING parquet "
-                                   f"LOCATION '{self.store.path(layer, t)}'")
+                staged = "bronze_staged" if layer == "bronze" else layer
+                clean = f"WHERE {CORRUPT} IS NULL" if layer == "bronze" else ""
+                cols = ", ".join(c for c in self.store.read(staged, t).columns if c != CORRUPT)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{t} AS SELECT {cols} "
+                               f"FROM parquet.`{self.store.path(staged, t)}` {clean}")
                 names.append(f"{layer}.{t}")
+        self.store.publish()
         return names
 
 
+def input_state(spark: SparkSession, folder: str) -> str:
+    """Digest of names, sizes and times of the files under an input folder."""
+    root, fs = hadoop_path(spark, folder)
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        st = files.next()
+        found.append(f"{st.getPath().toString()} {st.getLen()} {st.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 _RUNS: dict[tuple, Warehouse] = {}
 _RUNS_LOCK = threading.Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Warehouse:
-    """The run for (session, input folder, as-of date), built on first use."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), as_of)
+    """The run for (session, input files, as-of date), built on first use: an
+    input folder whose files changed gets a new run."""
+    key = (spark.sparkContext.applicationId, input_state(spark, sf_dir), as_of)
     with _RUNS_LOCK:
         if key not in _RUNS:
             _RUNS[key] = Warehouse(spark, sf_dir, as_of)
         return _RUNS[key]
-

@@ -219,9 +219,9 @@ def test_concurrent_callers_build_each_layer_once(spark):
     writes = []
     original = w.store.write
 
-    def counting_write(df, layer, table, partition_by=None):
+    def counting_write(df, layer, table):
         writes.append((layer, table))
-        return original(df, layer, table, partition_by)
+        return original(df, layer, table)
 
     w.store.write = counting_write
     jobs = [lambda: w.revenue_trends().count(), lambda: w.kpi_summary().count(),
@@ -234,20 +234,71 @@ def test_concurrent_callers_build_each_layer_once(spark):
 
 
 def test_retire_older_runs(spark, tmpdir_path):
+    """Only published runs of the same owner go; the newest ones stay."""
     import os
 
     from strata.sources.store import LayerStore
     root = os.path.join(tmpdir_path, "ckpt")
-    stores = [LayerStore(spark, root=root) for _ in range(3)]
-    for i, st in enumerate(stores):
+    stores = [LayerStore(spark, root=root) for _ in range(4)]
+    other = LayerStore(spark, root=root, owner="someone else")
+    for st in [*stores, other]:
         st.write(spark.range(3), "silver", "t")
-    runs = lambda: sorted(os.listdir(os.path.join(root, "strata")))
-    assert len(runs()) == 3
-    stores[-1].retire_older_runs(keep=2)
-    assert len(runs()) == 2 and f"run-{stores[-1].run_id}" in runs()
+    runs = lambda: {r for r in os.listdir(os.path.join(root, "strata"))}
+    assert len(runs()) == 5
+    stores[-1].publish()
+    assert stores[-1].retire_older_runs(keep=1) == [] and len(runs()) == 5  # none is published
+    other.publish()
+    stores[0].publish()
+    stores[1].publish()
+    assert len(stores[-1].retire_older_runs(keep=2)) == 1
+    assert {f"run-{st.run_id}" for st in (stores[2], stores[3], other)} < runs() and len(runs()) == 4
     assert stores[-1].read("silver", "t").count() == 3
 
 
+def test_reopened_run_loads_nothing_again(spark, tmpdir_path):
+    import os
+    import shutil
+
+    import pytest
+
+    from strata.plans.warehouse import Warehouse
+    from strata.sources.store import LayerStore
+    root = os.path.join(tmpdir_path, "ckpt")
+    sf = os.path.join(tmpdir_path, "sf")
+    shutil.copytree("/root/testdata/sf0.001", sf)
+    os.chmod(sf, 0o755)
+    first = Warehouse(spark, sf, store=LayerStore(spark, root=root))
+    want = first.gold("fact_sales").count()
+    again = Warehouse(spark, sf, store=LayerStore(spark, root=root, run_id=first.store.run_id))
+    again.store.write = None  # any load would fail now
+    assert again.gold("fact_sales").count() == want
+    assert {r.table_name for r in again.load_silver().collect()} >= {"(all)", "crm_prd_info"}
+    os.utime(os.path.join(sf, "part.parquet"), (1, 1))  # another input
+    with pytest.raises(ValueError, match="another input"):
+        Warehouse(spark, sf, store=LayerStore(spark, root=root, run_id=first.store.run_id))
+
+
+def test_load_timestamp_and_batch_totals(spark):
+    from strata.plans.warehouse import warehouse
+    w = warehouse(spark, "/root/testdata/sf0.001")
+    ts = w.silver("crm_cust_info", with_load_ts=True).select("dwh_create_date")
+    low, high, rows, given = ts.agg(F.min("dwh_create_date"), F.max("dwh_create_date"), F.count("*"),
+                                    F.count("dwh_create_date")).first()
+    assert low == high and rows == given > 0 and abs((dt.datetime.now() - low).total_seconds()) < 7200
+    for audit in (w.load_bronze(), w.load_silver()):
+        by = {r.table_name: r for r in audit.collect()}
+        assert by["(all)"].row_count == sum(r.row_count for t, r in by.items() if t != "(all)")
+        assert by["(all)"].seconds > 0
+
+
+def test_durable_publish_needs_a_persistent_catalog(spark):
+    import pytest
+
+    from strata.plans.warehouse import warehouse
+    with pytest.raises(RuntimeError, match="in-memory"):
+        warehouse(spark, "/root/testdata/sf0.001").publish_catalog(durable=True)
+
+
 def test_store_drop_removes_own_run_only(spark, tmpdir_path):
     import os
 
