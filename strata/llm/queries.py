@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from strata.llm import (
-    decontaminate, language, licenses, lm, mixing, nearest, neardup, repeats, secrets, tokenfile)
+    decontaminate, language, licenses, lm, mixing, nearest, neardup, oracles, repeats, secrets,
+    tokenfile)
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
@@ -19,6 +20,10 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_minhash_groups": oracles.near_duplicates(),
     "op3_license_scan": licenses.ORACLE,
+    "op5_secret_scan": oracles.secrets(),
+    "op6_repeated_passages": oracles.repeats(),
     "op7_mix_sources": mixing.ORACLE,
+    "op10_decontaminate": oracles.decontaminate(),
 }

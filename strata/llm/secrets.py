@@ -23,9 +23,17 @@ from pyspark.sql import functions as F
 
 from strata.llm.frames import Scratch, table
 
+
+
+def _any_case(*words: str) -> str:
+    """The words in either case (A-Z only, in any regular expression dialect)."""
+    each = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in words]
+    return "|".join(each)
+
+
 # The base patterns, and the least length of what they match.
-ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
-          r"""([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = (f"({_any_case('password', 'passwd', 'secret', 'token', 'api_?key')})"
+          r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ASSIGN_MIN = 12
 # Greedy runs: asking for the least length in the pattern finds the same spans
 # as matching first and dropping short ones.
@@ -33,12 +41,12 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 
 # Weak candidates of the linking.
-NAME = (r"""(?i)(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*"""
-        r"""[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
-RANDOM = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[a-z])"
-          r"(?=[A-Za-z0-9+/_-]*[A-Z])[A-Za-z0-9+/_-]{24,}")
-ADDRESS = (r"""(?i)(?:https?|wss?|ftps?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://"""
-           r"""[^\x00-\x20"'<>]+""")
+NAME = (f"(?:{_any_case('user(?:name)?', 'login', 'account', 'client_?id', 'access_?key(?:_?id)?')})"
+        r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
+RANDOM = r"[A-Za-z0-9+/_-]{24,}"
+RANDOM_HAS = ("[0-9]", "[a-z]", "[A-Z]")  # all of them
+ADDRESS = (f"(?:{_any_case('https?', 'wss?', 'ftps?', 's3', 'postgres(?:ql)?', 'mysql', 'mongodb', 'redis', 'amqp')})"
+           r"""://[^\x00-\x20"'<>]+""")
 SCOPE = 300
 BLOCK = 256
 
@@ -108,7 +116,10 @@ def _with_spans(df: DataFrame, text: str, patterns: dict) -> DataFrame:
 PATTERNS = {
     "assign": (ASSIGN, lambda x: F.length(F.regexp_extract(x, ASSIGN, 2)) >= ASSIGN_MIN),
     "access": (ACCESS, None), "hex": (HEX, None),
-    "name": (NAME, None), "random": (RANDOM, None), "address": (ADDRESS, None),
+    "name": (NAME, None),
+    "random": (RANDOM, lambda x: x.rlike(RANDOM_HAS[0]) & x.rlike(RANDOM_HAS[1])
+               & x.rlike(RANDOM_HAS[2])),
+    "address": (ADDRESS, None),
 }
 
 

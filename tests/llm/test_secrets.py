@@ -19,7 +19,8 @@ def brute(docs):
         base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
         n = [sum(k == i for _, k, _ in base) for i in range(3)]
         kinds = list(S.KINDS)
-        weak = [(m.start(), S.KINDS[k][0], m.end()) for k, p in WEAK.items() for m in p.finditer(t)]
+        weak = [(m.start(), S.KINDS[k][0], m.end()) for k, p in WEAK.items() for m in p.finditer(t)
+                if k != "random" or all(re.search(c, m[0]) for c in S.RANDOM_HAS)]
         every = base + weak
         role = lambda k: S.KINDS[kinds[k]][1]
         held = [w for w in weak if any(abs(x[0] - w[0]) <= S.SCOPE and role(x[1]) in S.NEEDS[kinds[w[1]]]
