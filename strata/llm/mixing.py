@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from strata.llm.frames import Scratch, table
 
 DIMS = ("source", "lang", "topic")
-TEMPER = {"source": 0.5, "lang": 0.5, "topic": 0.7}
+TEMPER = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 ROUNDS = 8
 SEED = "mix"
 
