@@ -40,7 +40,7 @@ TOP = 5
 FIT_VECTORS, FIT_QUERIES, FIT_ROUNDS = 20_000, 64, 8
 CENTROIDS = 64            # per half at most
 RECALL = 0.97             # aimed at by the depth; 0.9 is promised
-ENTRY_BLOCK, QUERY_BLOCK = 8192, 1024
+ENTRY_BLOCK, QUERY_BLOCK = 2048, 512
 EVERY = 50                # queries: ids divisible by this
 
 FOUND = "query_id long, rank int, vec_id long, score double"
