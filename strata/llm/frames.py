@@ -18,12 +18,13 @@ class Scratch:
 
     They live in a folder of their own under the session's shared checkpoint
     folder, so a lost executor never loses them.  ``drop`` removes a table
-    that a later one has replaced.
+    that a later one has replaced; ``drop_all`` removes what all operators of
+    the application have left, once their results are written elsewhere.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
         self._paths: dict[int, str] = {}
 
@@ -38,8 +39,20 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         path = self._paths.pop(id(df), None)
         if path:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(self.spark, path)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_all(spark: SparkSession) -> None:
+    _delete(spark, _folder(spark))
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -50,6 +63,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCH_CONF, _BATCH_DEFAULT, BATCH_BYTES = (
+    "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts are long: Arrow batches of 8 MB instead of the default 64 MB, which
+    the JVM and a Python worker would hold for every core.  A value that the
+    session's owner has chosen stays."""
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
               schema: str | T.StructType) -> DataFrame:
     """``fn`` applied to every Arrow batch; batches without rows are skipped."""
@@ -57,6 +82,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
         for b in batches:
             if b.num_rows:
                 yield from fn(b)
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import text as X
-from strata.llm.frames import Scratch, arrow_map, table
+from strata.llm.frames import Scratch, arrow_map, bound_batches, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -245,6 +245,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int =
         if doc_ids:
             yield close()
 
+    bound_batches(spark)
     (dealt.mapInArrow(run, SEGMENTS).write.option("compression", "zstd").parquet(path))
 
 
