@@ -79,11 +79,31 @@ class Chars:
         return of, self.hash(at, at + n, n)
 
 
-def _slices(col: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Rows in slices of bounded size (a longer single text goes alone)."""
+def _pieces(text: str) -> Iterator[str]:
+    """A very long text in pieces of about SLICE characters, cut at spaces (so
+    never within a word)."""
+    at = 0
+    while len(text) - at > X.SLICE:
+        cut = text.rfind(" ", at, at + X.SLICE)
+        cut = cut if cut > at else text.find(" ", at + X.SLICE)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def _slices(col: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Texts in slices of bounded size with the row of each; a very long text
+    comes in several slices."""
     _, off = X.utf8(col)
     for i, j in X.row_slices(off, X.SLICE):
-        yield i, [t or "" for t in col.slice(i, j - i).to_pylist()]
+        texts = [t or "" for t in col.slice(i, j - i).to_pylist()]
+        if len(texts) > 1 or len(texts[0]) <= X.SLICE:
+            yield np.arange(i, j), texts
+        else:
+            for piece in _pieces(texts[0]):
+                yield np.array([i]), [piece]
 
 
 # ---- fitting -------------------------------------------------------------
@@ -91,10 +111,10 @@ def _slices(col: pa.Array) -> Iterator[tuple[int, list[str]]]:
 def _count(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Counts of words and n-grams of a batch by language."""
     langs = b.column("lang").to_pylist()
-    for i, texts in _slices(b.column("text")):
+    for rows, texts in _slices(b.column("text")):
         c = Chars(texts)
         row = np.repeat(np.arange(len(texts)), np.diff(c.row_off))
-        lang_names, lang_of = np.unique(np.array(langs[i:i + len(texts)], object).astype(str),
+        lang_names, lang_of = np.unique(np.array([langs[r] for r in rows], object).astype(str),
                                         return_inverse=True)
         every = np.arange(len(c.start))
         for order in (0, *ORDERS):
@@ -148,8 +168,8 @@ def _find(model: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, model["h"][at] == h
 
 
-def _totals(model: dict, texts: list[str]) -> np.ndarray:
-    """Sum of log frequencies by row and language."""
+def _totals(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of log frequencies by text and language, and which have a letter."""
     c = Chars(texts)
     score = np.zeros((len(c.start), len(model["langs"])))
     at, known = _find(model, c.hash(c.start, c.end, 0))
@@ -176,15 +196,17 @@ def _totals(model: dict, texts: list[str]) -> np.ndarray:
 def predict(model: dict, col: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and posterior (even prior) of every text of a column."""
     pred, score = [UND] * len(col), np.zeros(len(col))
-    if not model["langs"]:
+    if not model["langs"] or not len(col):
         return pred, score
-    for i, texts in _slices(col):
-        total, has = _totals(model, texts)
-        e = np.exp(total - total.max(1, keepdims=True))
-        best = total.argmax(1)
-        post = e.max(1) / e.sum(1)
-        for r in np.flatnonzero(has):
-            pred[i + r], score[i + r] = model["langs"][best[r]], post[r]
+    total, has = np.zeros((len(col), len(model["langs"]))), np.zeros(len(col), bool)
+    for rows, texts in _slices(col):
+        own, letters = _totals(model, texts)
+        total[rows] += own
+        has[rows] |= letters
+    e = np.exp(total - total.max(1, keepdims=True))
+    best, post = total.argmax(1), e.max(1) / e.sum(1)
+    for r in np.flatnonzero(has):
+        pred[r], score[r] = model["langs"][best[r]], post[r]
     return pred, score
 
 

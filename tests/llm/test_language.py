@@ -108,3 +108,23 @@ def test_bounded_fit_sample(spark):
     assert sorted(model["langs"]) == ["de", "en"] and len(model["h"]) == 6
     pred, _ = L.predict(model, pa.array(["a", None]))
     assert pred[1] == "und"
+
+
+def test_very_long_texts_come_in_pieces(monkeypatch):
+    texts = ["das ist ein altes Haus und " * 50, "the old house " * 9, "", "x" * 900, "a b", None, "1 2 " * 400]
+    rows = [(t, g) for t, g in (("das ist ein altes haus und", "de"), ("the old house is the", "en")) for _ in range(3)]
+    h, n = {}, {}
+    for t, g in rows:
+        for b in L._count(pa.record_batch([[t], [g]], names=["text", "lang"])):
+            for lang, order, k, c in zip(*(b.column(i).to_pylist() for i in range(4))):
+                h[(order, k)] = order
+                n[(order, k, lang)] = n.get((order, k, lang), 0) + c
+    keys = sorted(h, key=lambda x: x[1] & (2**64 - 1))
+    model = {"langs": ["de", "en"], "h": L.np.array([k for _, k in keys], "i8").view("u8"),
+             "logp": L.np.log(L.np.array([[n.get((o, k, g), 0) + 0.1 for g in ("de", "en")] for o, k in keys])).astype("f4")}
+    whole = L.predict(model, pa.array(texts))
+    monkeypatch.setattr(L.X, "SLICE", 100)
+    cut = L.predict(model, pa.array(texts))
+    assert whole[0] == cut[0] == ["de", "en", "und", cut[0][3], cut[0][4], "und", "und"]
+    assert L.np.allclose(whole[1], cut[1])
+    assert "".join(L._pieces(texts[0])) == texts[0] and len(list(L._pieces(texts[0]))) > 5
