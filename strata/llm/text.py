@@ -89,7 +89,13 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null reads as empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.cast(pa.large_string()).fill_null("")
+    return raw(col.cast(pa.large_string()).fill_null(""))
+
+
+def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and row offsets of a string or binary column without nulls."""
+    if not pa.types.is_large_string(col.type):
+        col = col.cast(pa.large_binary())
     off = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1 + col.offset)[col.offset:]
     data = col.buffers()[2]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
