@@ -6,7 +6,7 @@ the one before kept, written as Parquet in the shared folder and reread.
    of 0.8 or more);
 3. decontamination: rows hit by a 10-word window of ``benchmark`` go;
 4. mixing: rows are sampled by probabilities fitted to source, language and
-   topic targets;
+   topic targets, scaled to keep ``KEEP`` of all words;
 5. token file: the ids of what is left are bit-packed and written in document
    order; the rows are the digests read back from the files.
 
@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import decontaminate, language, mixing, neardup, tokenfile
 from strata.llm.frames import Scratch, table
 
+KEEP = 0.6  # share of the words that mixing keeps
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs)
@@ -34,7 +36,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.sample(docs)
+    return mixing.sample(docs, keep=KEEP)
 
 
 def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

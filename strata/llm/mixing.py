@@ -8,6 +8,12 @@ it is a probability, so no document is needed twice.  A document is kept if
 a hash of its id, as a number from 0 to 1, lies below its probability: the
 same for every run, however the rows are dealt out.
 
+With ``keep`` given, rates are scaled to that share of all weight instead of
+the largest rate, and cells that would pass 1 are kept whole: a rare category
+then cannot set the scale for all documents.  Rounds go on until every target
+is met within ``TOLERANCE`` or comes no nearer.  Targets that are not met, as they contradict
+each other or ask for more weight than there is, are warned about.
+
 Targets: by default each category's share of all weight to the power of its
 marginal's temper (1 keeps the mix, 0 makes it even), scaled to 1.  A table
 (value, share) may be given instead for any marginal; categories it does not
@@ -24,6 +30,7 @@ columns are ignored by ``rates`` and kept by ``sample``.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,6 +42,7 @@ DIMS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 ROUNDS = 8
 SEED = "mix"
+TOLERANCE, MOST_ROUNDS = 1e-2, 40  # with ``keep``: share error allowed, rounds at most
 
 # Topics by what a text contains, first match wins (fixed values).
 TOPICS = (("legal", "(?i)licen[cs]e"), ("table", r" \| "), ("numbers", "[0-9]{6,}"))
@@ -70,9 +78,10 @@ def _shares(cells: DataFrame, dim: str, given: DataFrame | None, temper: float,
 
 
 def rates(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
-          temper: dict[str, float] | None = None, rounds: int = ROUNDS) -> DataFrame:
+          temper: dict[str, float] | None = None, rounds: int = ROUNDS,
+          keep: float | None = None) -> DataFrame:
     """(source, lang, topic, rate) of every cell of ``docs``, which has these
-    columns and ``tokens``."""
+    columns and ``tokens``; ``keep`` is the share of all weight to be kept."""
     scratch = Scratch(docs.sparkSession, "mixing")
     cells = scratch.write(docs.groupBy(*DIMS).agg(F.sum("tokens").alias("n")))
     fitted = cells.withColumn("w", F.col("n").cast("double"))
@@ -81,15 +90,65 @@ def rates(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
         fitted = fitted.join(share, F.col(d).eqNullSafe(F.col(f"_{d}"))).drop(f"_{d}")
     total = cells.agg(F.sum("n").cast("double").alias("t")).scalar()
     fitted = fitted.withColumn("total", total)
+    fitted = _raked(fitted, rounds)
+    if keep is not None:
+        return _kept_share(_converged(scratch.write(fitted), rounds, scratch), keep)
+    fitted = scratch.write(fitted.select(*DIMS, (F.col("w") / F.col("n")).alias("r")))
+    top = fitted.agg(F.max("r").alias("m"))
+    return fitted.select(*DIMS, F.when(F.col("r") > 0, F.col("r") / top.scalar())
+                         .otherwise(F.lit(0.0)).alias("rate"))
+
+
+def _raked(fitted: DataFrame, rounds: int) -> DataFrame:
     for _ in range(rounds):
         for d in DIMS:
             mass = F.sum("w").over(Window.partitionBy(d))
             fitted = fitted.withColumn("w", F.when(mass > 0, F.col("w") * F.col(f"t_{d}")
                                                    * F.col("total") / mass).otherwise(F.lit(0.0)))
-    fitted = scratch.write(fitted.select(*DIMS, (F.col("w") / F.col("n")).alias("r")))
-    top = fitted.agg(F.max("r").alias("m"))
-    return fitted.select(*DIMS, F.when(F.col("r") > 0, F.col("r") / top.scalar())
-                         .otherwise(F.lit(0.0)).alias("rate"))
+    return fitted
+
+
+def _error(cells: DataFrame, weight: Column, dim: str) -> float:
+    """Largest error of a target share of ``dim``, over the target."""
+    total = cells.agg(F.sum(weight)).first()[0]
+    if not total:
+        return 0.0
+    by = cells.groupBy(dim).agg(F.sum(weight).alias("w"), F.first(f"t_{dim}").alias("t"))
+    return by.filter("t > 0").agg(F.max(F.abs(F.col("w") / total / F.col("t") - 1))).first()[0] or 0.0
+
+
+def _converged(fitted: DataFrame, rounds: int, scratch: Scratch) -> DataFrame:
+    """Rounds until the targets are met, or more rounds bring them no nearer."""
+    done, last = rounds, float("inf")
+    while done < MOST_ROUNDS:
+        off = max(_error(fitted, F.col("w"), d) for d in DIMS)
+        if off <= TOLERANCE or off > 0.9 * last:
+            break
+        fitted, done, last = scratch.write(_raked(fitted, ROUNDS)), done + ROUNDS, off
+    return fitted
+
+
+def _kept_share(fitted: DataFrame, keep: float) -> DataFrame:
+    """Rates min(1, scale * w / n) that keep the share ``keep`` of all weight."""
+    r = F.col("w") / F.col("n")
+    total = fitted.agg(F.sum("n")).first()[0] or 0
+    scale = keep
+    while True:  # ends: cells only ever join the whole ones
+        full = F.col("w") * scale >= F.col("n")
+        whole, rest = fitted.agg(F.sum(F.when(full, F.col("n"))),
+                                 F.sum(F.when(~full, F.col("w")))).first()
+        if not rest:
+            break
+        new = (keep * total - (whole or 0)) / rest
+        if new <= scale * (1 + 1e-12):
+            break
+        scale = new
+    rate = F.least(F.lit(1.0), r * scale)
+    for d in DIMS:
+        off = _error(fitted, rate * F.col("n"), d)
+        if off > TOLERANCE:
+            warnings.warn(f"mix: a target share of {d} is missed by {off:.1%}", stacklevel=3)
+    return fitted.select(*DIMS, rate.alias("rate"))
 
 
 def unit_of(doc_id: str = "doc_id") -> Column:

@@ -61,3 +61,22 @@ def test_unnamed_category_gets_nothing_and_empty(spark):
 def test_no_python_in_plan(spark):
     plan = M.sample(spark.read.parquet(f"{D}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_stray_document_does_not_scale_all(spark):
+    data = [(i, "a b c d", f"s{i % 20 if i % 3 else 0}", "en" if i % 10 < 6 else "de") for i in range(10000)]
+    data += [(10000, "a b c d", None, "xx")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    got = M.mix(df, keep=0.6).selectExpr("avg(tokens * rate) / avg(tokens) AS w", "max(rate) AS m",
+                                         "count_if(kept) AS n").first()
+    assert got.w == pytest.approx(0.6, abs=1e-4) and got.m <= 1 and got.n == pytest.approx(6000, abs=250)
+
+
+def test_keep_meets_targets_or_warns(spark):
+    data = [(i, "a", f"s{i % 2}", "en") for i in range(100)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    given = spark.createDataFrame([("s0", 0.9), ("s1", 0.1)], "value string, share double")
+    with pytest.warns(UserWarning, match="source is missed"):
+        rate = {r.source: r.rate for r in M.mix(df, targets={"source": given}, keep=0.8).collect()}
+    assert rate == {"s0": 1.0, "s1": pytest.approx(0.6)}
+    assert M.sample(df.limit(0), keep=0.6).count() == 0
