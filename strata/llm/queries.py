@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from strata.llm import (
-    decontaminate, language, licenses, lm, mixing, nearest, neardup, oracles, repeats, secrets,
+    align, decontaminate, language, licenses, lm, mixing, nearest, neardup, oracles, repeats, secrets,
     tokenfile)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_token_file": tokenfile.query,
     "op9_lm_score": lm.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_align_tokens": align.query,
 }
 
 ORACLE = {
