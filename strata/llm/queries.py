@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from strata.llm import (
-    align, decontaminate, language, licenses, lm, mixing, nearest, neardup, oracles, repeats, secrets,
-    tokenfile)
+    align, chat, decontaminate, language, licenses, lm, merkle, mixing, nearest, neardup, oracles,
+    repeats, secrets, tokenfile)
 
 QUERIES = {
     "op1_minhash_groups": neardup.query,
@@ -18,6 +18,8 @@ QUERIES = {
     "op9_lm_score": lm.query,
     "op10_decontaminate": decontaminate.query,
     "op11_align_tokens": align.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_chat_windows": chat.query,
 }
 
 ORACLE = {
@@ -27,4 +29,6 @@ ORACLE = {
     "op6_repeated_passages": oracles.repeats(),
     "op7_mix_sources": mixing.ORACLE,
     "op10_decontaminate": oracles.decontaminate(),
+    "op12_merkle_manifest": merkle.ORACLE,
+    "op13_chat_windows": chat.ORACLE,
 }
