@@ -2,11 +2,14 @@
 
     python -m strata --landing DIR [--as-of YYYY-MM-DD] [--strict] [--out DIR]
     python -m strata --sf-dir /root/testdata/sf0.01      # derive the extracts first
+    python -m strata --read gold.fact_sales --root DIR   # a table of the published version
 
 Loads bronze and silver, builds gold, publishes ``bronze.*``, ``silver.*``,
-``gold.*`` to the session's catalog (``--publish``: to one that outlives it),
-prints the run id, the load audits, the data-quality summary
-and the KPI row, and with ``--out`` writes every analytics result as parquet.
+``gold.*`` as the next version under the runs' folder and in the session's
+catalog (``--publish``: one that outlives it), prints the run id, the load
+audits, the data-quality summary and the KPI row, and with ``--out`` writes
+every analytics result as parquet.  A load that fails prints the audit with
+the failed tables; ``--run-id`` goes on with these alone.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ import argparse
 from strata.plans import quality
 from strata.plans.warehouse import Warehouse
 from strata.session import DEFAULT_AS_OF, build_session
+from strata.sources.bronze import LoadFailed
+from strata.sources.publication import Publication
 from strata.sources.store import LayerStore
 
 
@@ -24,6 +29,9 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--landing", help="folder with source_crm/ and source_erp/ CSV extracts")
     src.add_argument("--sf-dir", help="driver tables to derive the extracts from")
+    src.add_argument("--read", metavar="TABLE", help="show a table of the published version")
+    ap.add_argument("--root", help="folder of the runs (default: the session's checkpoint folder)")
+    ap.add_argument("--version", type=int, help="with --read: this version instead of the newest")
     ap.add_argument("--as-of", default=DEFAULT_AS_OF, help="'today' for date rules")
     ap.add_argument("--null-value", action="append", help="NULL marker in the extracts (repeatable)")
     ap.add_argument("--run-id", help="reopen this run instead of loading again")
@@ -36,16 +44,30 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = build_session()
-    store = LayerStore(spark, run_id=args.run_id)
+    published = Publication(spark, args.root)
+    if args.read:
+        snapshot = published.open(args.version)
+        if snapshot is None:
+            raise SystemExit("nothing is published")
+        print("version:", snapshot.version, "run:", snapshot.run_id)
+        snapshot.table(args.read).show(truncate=False)
+        return
+    built_on = (published.versions() or [0])[-1]
+    store = LayerStore(spark, root=args.root, run_id=args.run_id)
     if args.landing:
         w = Warehouse.from_csv(spark, args.landing, args.as_of, tuple(args.null_value or ("",)),
                                args.strict, store)
     else:
         w = Warehouse(spark, args.sf_dir, args.as_of, store, args.strict)
     print("run:", w.store.run_id)
-    w.load_bronze().show(truncate=False)
-    w.load_silver().show(truncate=False)
+    for layer, load in (("bronze", w.load_bronze), ("silver", w.load_silver)):
+        try:
+            load().show(truncate=False)
+        except LoadFailed:
+            w.load_audit(layer).show(truncate=False)
+            raise
     print("published:", ", ".join(w.publish_catalog(durable=args.publish)))
+    print("version:", w.publish(built_on))
     if args.keep_runs:
         print("retired:", len(w.store.retire_older_runs(args.keep_runs)), "older run(s)")
     quality.data_quality_report(w).show(50, truncate=False)

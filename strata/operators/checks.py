@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators import skew
+
 
 def check_unique(df: DataFrame, key: str, count_name: str = "row_count",
                  null_is_violation: bool = False) -> DataFrame:
@@ -38,7 +40,8 @@ def domain(df: DataFrame, col: str, ordered: bool = False) -> DataFrame:
     return out.orderBy(F.col(col).asc_nulls_first()) if ordered else out
 
 
-def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str,
+           heavy: DataFrame | None = None) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` ON key, with dim columns renamed ``prefix + c``.
 
     Rows with a NULL key can never match, yet a shuffle join would send all
@@ -48,19 +51,21 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, prefix: str) -> DataFrame:
     rows spread over all reducers, in one scan of the fact.  The salt is a
     pure function of the row, so a recomputed task sends every row where
     the first attempt did (no indeterminate shuffle); exact copies share a
-    bucket, which AQE's skew-join split covers.
+    bucket, which AQE's skew-join split covers.  Keys of ``heavy`` (see
+    ``operators.skew``) get as many salts as they need, and only their
+    dimension rows are replicated.
     """
-    buckets = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The dimension's salt must stay a real join key: a literal 0 would be
     # folded into a filter and the shuffle would hash on the key alone.
     d = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns],
                    F.when(F.col(key).isNull(), -1).otherwise(0).alias("_lk_dsalt"))
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    f = fact.withColumn("_lk_fsalt", F.when(F.col(key).isNull(),
-                                            F.pmod(row_hash, F.lit(buckets)).cast("int"))
-                        .otherwise(0))
+    f, splits = fact, None
+    if heavy is not None:
+        d = skew.replicated(d.drop("_lk_dsalt"), prefix + key, heavy, "_lk_dsalt")
+        f, splits = skew.with_splits(fact, key, heavy, "_lk_splits"), F.col("_lk_splits")
+    f = f.withColumn("_lk_fsalt", skew.salt_of(key, fact.columns, splits, skew.partitions(fact)))
     cond = (F.col(key) == F.col(prefix + key)) & (F.col("_lk_fsalt") == F.col("_lk_dsalt"))
-    return f.join(d, cond, "left").drop("_lk_fsalt", "_lk_dsalt")
+    return f.join(d, cond, "left").drop("_lk_fsalt", "_lk_dsalt", "_lk_splits")
 
 
 def check_fk(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:

@@ -25,8 +25,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from strata.operators.selection import kth_rows
 from strata.session import checkpoint_root
 from strata.sources.store import delete_folder, materialize
 
@@ -183,43 +183,49 @@ def next_in_sequence(df: DataFrame, group: str, order: list[Column], cols: list[
 
 def multi_ntile(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]],
                 unique: list[str]) -> DataFrame:
-    """Several NTILE(tiles) columns over integer keys with one range shuffle.
+    """Several NTILE(tiles) columns over integer keys without any sort.
 
     ``keys`` maps an output name to (integer column, ascending); ascending
     puts NULLs first, descending puts them last.  ``unique`` is a key of
-    ``df`` and breaks ties in every order.  Only the order's columns are
-    ranked, stacked once per output (each stack holds exactly N rows, so the
-    position inside stack t is rn - t * N).  A tile needs no row's full rank:
-    the rows at the ``tiles - 1`` cuts of each stack (a handful, kept as
-    literals) tell every row its tile by comparison, without a join.
+    ``df`` and breaks ties in every order; its integer columns come first.  A
+    tile needs no row's rank: the rows at the ``tiles - 1`` cuts of each order
+    (found by histograms, see ``selection``) tell every row its tile by
+    comparison, without a join.
     """
-    def order_of(col: str, asc: bool) -> Column:
-        c = F.col(col).cast("long")
-        flag = F.when(c.isNull(), 0 if asc else 1).otherwise(1 if asc else 0)
-        return F.struct(flag.alias("f"), (c if asc else -c).alias("k"),
-                        *[F.col(u) for u in unique])
-
-    orders = [order_of(col, asc) for col, asc in keys.values()]
-    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("t"), o.alias("o"))
-                                            for i, o in enumerate(orders)])).alias("x")).select(
-        F.col("x.t").alias("_mt_t"), F.col("x.o").alias("_mt_o"))
-    ranked = global_row_number(stacked, [F.col("_mt_t").asc(), F.col("_mt_o").asc()],
-                               out="_mt_rn", keep_total=True, name="multi_ntile")
-    n = F.call_function("div", F.col(_TOTAL), F.lit(len(keys)))
-    q, r = F.call_function("div", n, F.lit(tiles)), n % tiles
-    ends = F.array(*[q * i + F.least(r, F.lit(i)) for i in range(1, tiles)])
-    at = F.col("_mt_rn") - F.col("_mt_t") * n
-    cuts = ranked.filter(F.array_contains(ends, at)).select("_mt_t", "_mt_o").collect()
-    kind = df.select(orders[0].alias("o")).schema["o"].dataType
+    wide = ("tinyint", "smallint", "int", "bigint")
+    kinds = dict(df.dtypes)
+    whole = [u for u in unique if kinds[u] in wide]
+    rest = [u for u in unique if kinds[u] not in wide]
+    ids = [_not_null(F.col(u).cast("long"), True) for u in whole]
+    orders = [[*_not_null(F.col(c).cast("long") if up else -F.col(c).cast("long"), up), *sum(ids, [])]
+              for c, up in keys.values()]
+
+    def ends(n: int) -> list[int]:
+        q, r = divmod(n, tiles)
+        last = [q * i + min(r, i) for i in range(1, tiles)]
+        return [k for k in last if 0 < k < n]
+
+    cuts = kth_rows(df, orders, rest, ends, [
+        F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(keys.values())]).alias("keys"),
+        F.struct(*[F.col(u) for u in (*whole, *rest)]).alias("unique")])
+
+    def place(c: Column, up: bool, tie: list[Column]) -> Column:
+        flag, k = _not_null(c if up else -c, up)
+        return F.struct(flag.alias("f"), k.alias("k"), *[t.alias(f"t{j}") for j, t in enumerate(tie)])
+
     scored = df
-    for i, (name, o) in enumerate(zip(keys, orders)):
-        tile = F.lit(1)
-        for row in cuts:
-            if row["_mt_t"] == i:
-                tile = tile + (o > _literal(row["_mt_o"], kind)).cast("long")
+    ties = [F.col(u) for u in (*whole, *rest)]
+    for i, (name, (c, up)) in enumerate(keys.items()):
+        own, tile = place(F.col(c).cast("long"), up, ties), F.lit(1)
+        for row in cuts[i]:
+            at = place(F.lit(row["keys"][i]).cast("long"), up,
+                       [F.lit(row["unique"][u]).cast(kinds[u]) for u in (*whole, *rest)])
+            tile = tile + (own > at).cast("long")
         scored = scored.withColumn(name, tile.cast("long"))
     return scored.select(*df.columns, *keys)
 
 
-def _literal(value, kind: T.StructType) -> Column:
-    return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in kind])
+def _not_null(c: Column, first: bool) -> list[Column]:
+    """A nullable integer as two that are not: NULLs first, or last."""
+    flag = F.when(c.isNull(), 0 if first else 1).otherwise(1 if first else 0)
+    return [flag.cast("long"), F.coalesce(c, F.lit(0).cast("long"))]

@@ -60,6 +60,25 @@ def bad_amount() -> Column:
     return (F.col("sales_amount") <= 0) | F.col("sales_amount").isNull()
 
 
+# The row-level checks of each table, counted while it is written.  A layer
+# that is loaded needs no scan to report them.
+ROW_CHECKS: dict[tuple[str, str], Callable[[str], dict[str, Column]]] = {
+    ("bronze", "crm_cust_info"): lambda as_of: {"null_cst_id": F.col("cst_id").isNull()},
+    ("bronze", "crm_sales_details"): lambda as_of: {"null_sls_ord_num": F.col("sls_ord_num").isNull()},
+    ("silver", "crm_cust_info"): lambda as_of: {"cst_key_whitespace": not_trimmed("cst_key")},
+    ("silver", "crm_prd_info"): lambda as_of: {
+        "bad_prd_cost": bad_cost(), "prd_nm_whitespace": not_trimmed("prd_nm")},
+    ("silver", "crm_sales_details"): lambda as_of: {
+        "sales_mismatch": bad_amounts(tolerance=1), "order_after_ship_or_due": bad_date_order()},
+    ("silver", "erp_cust_az12"): lambda as_of: {"bdate_out_of_range": bad_bdate(as_of)},
+    ("gold", "fact_sales"): lambda as_of: {"bad_sales_amount": bad_amount()},
+}
+
+
+def row_checks(layer: str, table: str, as_of: str) -> dict[str, Column]:
+    return ROW_CHECKS.get((layer, table), lambda as_of: {})(as_of)
+
+
 # ---------------------------------------------------------------- silver suite
 def check_cust_id_unique(w) -> DataFrame:
     return check_unique(w.silver("crm_cust_info"), "cst_id", null_is_violation=True)
@@ -146,19 +165,21 @@ WHITESPACE_LABELS = ("crm_cust_info — cst_key has leading/trailing space",
                      "crm_prd_info — prd_nm has leading/trailing space")
 
 
+def _listed(w, rows: list[tuple], schema: str) -> DataFrame:
+    """Counts taken at write time as a frame: no table is read."""
+    return w.spark.createDataFrame(rows, schema)
+
+
 def report_bronze_counts(w) -> DataFrame:
-    parts = [w.bronze(t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(BRONZE_LABEL.format(t)).alias("table_name"), "row_count")
-             for t in TABLES]
-    return reduce(DataFrame.unionAll, parts)
+    return _listed(w, [(BRONZE_LABEL.format(t), w.counted("bronze", t)["rows"]) for t in TABLES],
+                   "table_name string, row_count long")
 
 
 def report_bronze_null_keys(w) -> DataFrame:
-    a = w.bronze("crm_cust_info").agg(F.count_if(F.col("cst_id").isNull()).alias("violation_count"))
-    b = w.bronze("crm_sales_details").agg(
-        F.count_if(F.col("sls_ord_num").isNull()).alias("violation_count"))
-    return (a.select(F.lit(NULL_KEY_LABELS[0]).alias("check_name"), "violation_count")
-            .unionAll(b.select(F.lit(NULL_KEY_LABELS[1]).alias("check_name"), "violation_count")))
+    return _listed(w, [
+        (NULL_KEY_LABELS[0], w.counted("bronze", "crm_cust_info")["null_cst_id"]),
+        (NULL_KEY_LABELS[1], w.counted("bronze", "crm_sales_details")["null_sls_ord_num"])],
+        "check_name string, violation_count long")
 
 
 def report_dup_cust(w) -> DataFrame:
@@ -186,10 +207,10 @@ def report_bdate(w) -> DataFrame:
 
 
 def report_whitespace(w) -> DataFrame:
-    a = w.silver("crm_cust_info").agg(F.count_if(not_trimmed("cst_key")).alias("cnt"))
-    b = w.silver("crm_prd_info").agg(F.count_if(not_trimmed("prd_nm")).alias("cnt"))
-    return (a.select(F.lit(WHITESPACE_LABELS[0]).alias("issue"), "cnt")
-            .unionAll(b.select(F.lit(WHITESPACE_LABELS[1]).alias("issue"), "cnt")))
+    return _listed(w, [
+        (WHITESPACE_LABELS[0], w.counted("silver", "crm_cust_info")["cst_key_whitespace"]),
+        (WHITESPACE_LABELS[1], w.counted("silver", "crm_prd_info")["prd_nm_whitespace"])],
+        "issue string, cnt long")
 
 
 def report_domains(w) -> DataFrame:
@@ -217,56 +238,35 @@ def report_bad_amount(w) -> DataFrame:
 def data_quality_report(w) -> DataFrame:
     """Every pass/fail check as (layer, check_name, violations, passed).
 
-    Each table is read once: its row-level checks are conditional counts in
-    one aggregate; a key-uniqueness check on the same table rides along as
-    a grouped pre-aggregate (partial counts map-side); orphans and bad
-    amounts share one pass over the fact with its two lookups.
+    Row-level checks were counted while the layers were written; only what
+    needs other rows reads a table: key uniqueness (a grouped count of the key
+    alone, partial counts map-side) and orphans (the fact's keys against both
+    dimensions).
     """
-    def stacked(layer: str, agg: DataFrame, names: list[str]) -> DataFrame:
-        stack = ", ".join(f"'{n}', `{n}`" for n in names)
-        return agg.selectExpr(f"'{layer}' AS layer",
-                              f"stack({len(names)}, {stack}) AS (check_name, violations)")
-
-    def row_checks(layer: str, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-        agg = df.agg(*[F.count_if(c).alias(n) for n, c in checks.items()])
-        return stacked(layer, agg, list(checks))
-
-    def keyed_checks(layer: str, df: DataFrame, key: str, dup_name: str,
-                     checks: dict[str, Column]) -> DataFrame:
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                      *[F.count_if(c).alias(n) for n, c in checks.items()])
-        agg = per_key.agg(F.count_if(F.col("_n") > 1).alias(dup_name),
-                          *[F.sum(n).cast("long").alias(n) for n in checks])
-        return stacked(layer, agg, [dup_name, *checks])
-
-    looked = check_fk_flags(w)
-    parts = [
-        row_checks("bronze", w.bronze("crm_cust_info"),
-                   {"null_cst_id": F.col("cst_id").isNull()}),
-        row_checks("bronze", w.bronze("crm_sales_details"),
-                   {"null_sls_ord_num": F.col("sls_ord_num").isNull()}),
-        keyed_checks("silver", w.silver("crm_cust_info"), "cst_id", "duplicate_cst_id",
-                     {"cst_key_whitespace": not_trimmed("cst_key")}),
-        row_checks("silver", w.silver("crm_prd_info"),
-                   {"bad_prd_cost": bad_cost(), "prd_nm_whitespace": not_trimmed("prd_nm")}),
-        row_checks("silver", w.silver("crm_sales_details"),
-                   {"sales_mismatch": bad_amounts(tolerance=1),
-                    "order_after_ship_or_due": bad_date_order()}),
-        row_checks("silver", w.silver("erp_cust_az12"), {"bdate_out_of_range": bad_bdate(w.as_of)}),
-        keyed_checks("gold", w.gold("dim_customers"), "customer_key", "duplicate_customer_key", {}),
-        keyed_checks("gold", w.gold("dim_products"), "product_key", "duplicate_product_key", {}),
-        row_checks("gold", looked, {"orphan_fact_rows": F.col("_orphan"),
-                                    "bad_sales_amount": bad_amount()}),
-    ]
-    out = reduce(DataFrame.unionAll, parts)
+    counted = [(layer, name, w.counted(layer, table)[name])
+               for layer, table in ROW_CHECKS for name in row_checks(layer, table, w.as_of)]
+
+    def repeated(layer: str, df: DataFrame, key: str, name: str) -> DataFrame:
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        return per_key.agg(F.count_if(F.col("_n") > 1).alias("violations")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("check_name"), "violations")
+
+    lost = check_fk_flags(w).agg(F.count_if("_orphan").alias("violations")).select(
+        F.lit("gold").alias("layer"), F.lit("orphan_fact_rows").alias("check_name"), "violations")
+    out = reduce(DataFrame.unionAll, [
+        _listed(w, counted, "layer string, check_name string, violations long"),
+        repeated("silver", w.silver("crm_cust_info"), "cst_id", "duplicate_cst_id"),
+        repeated("gold", w.gold("dim_customers"), "customer_key", "duplicate_customer_key"),
+        repeated("gold", w.gold("dim_products"), "product_key", "duplicate_product_key"),
+        lost])
     run_date = F.date_format(F.lit(w.as_of).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
     return out.withColumn("passed", F.col("violations") == 0).withColumn("run_date", run_date)
 
 
 def check_fk_flags(w) -> DataFrame:
-    """The fact with its dimension lookups and an ``_orphan`` flag per row."""
-    f = lookup(w.gold("fact_sales"), w.gold("dim_customers").select("customer_key"),
-               "customer_key", "c_")
+    """The fact's keys with their dimension lookups and an ``_orphan`` flag per row."""
+    f = lookup(w.gold("fact_sales").select("customer_key", "product_key"),
+               w.gold("dim_customers").select("customer_key"), "customer_key", "c_")
     f = lookup(f, w.gold("dim_products").select("product_key"), "product_key", "p_")
     return f.withColumn("_orphan", F.col("c_customer_key").isNull() | F.col("p_product_key").isNull())
 
@@ -278,12 +278,13 @@ def profile_tables(w) -> DataFrame:
 
 
 def bronze_load_audit(w) -> DataFrame:
-    """Load audit without the wall-clock seconds (kept by ``load_bronze``)."""
-    return w.load_bronze().drop("seconds")
+    """Load audit without the wall-clock seconds (kept by ``load_bronze``)
+    and the errors (a load that has any raises)."""
+    return w.load_bronze().drop("seconds", "error")
 
 
 def silver_load_audit(w) -> DataFrame:
-    return w.load_silver().drop("seconds")
+    return w.load_silver().drop("seconds", "error")
 
 
 def with_copies(df: DataFrame, key: str) -> DataFrame:

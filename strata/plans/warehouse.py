@@ -9,21 +9,22 @@ its own tasks.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import threading
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import skew
 from strata.operators.ranking import scratch_of, scratch_root
-from strata.plans import analytics, gold, silver
+from strata.plans import analytics, gold, quality, silver
 from strata.schemas import SILVER_COLUMNS, TABLES
 from strata.session import DEFAULT_AS_OF
 from strata.sources import bronze as bronze_src
 from strata.sources.csv import CORRUPT
 from strata.sources.fixtures import malformed, source_table
-from strata.sources.store import LayerStore, delete_folder, hadoop_path, run_concurrently
+from strata.sources.publication import Publication
+from strata.sources.store import LayerStore, delete_folder, input_state, run_concurrently
 
 # Null marker of the landing extracts written here ('' stays an empty string).
 LANDING_NULL = "\\N"
@@ -43,19 +44,27 @@ class Warehouse:
         self.landing_dir = f"{self.store.root}/landing"
         self.null_values: tuple[str, ...] = (LANDING_NULL,)
         self._audit: dict[str, DataFrame] = {}
+        self._heavy_keys: dict[str, DataFrame | None] | None = None
         self._locks: dict[str, threading.Lock] = {}
         self._locks_guard = threading.Lock()
         if sf_dir is not None:
-            self._same_input(sf_dir)
+            self._same_input(input_state(spark, sf_dir), as_of, strict)
 
-    def _same_input(self, folder: str) -> None:
-        now = [input_state(self.spark, folder), self.as_of, self.strict]
+    def _same_input(self, *now) -> None:
         before = self.store.noted("input")
         if before is None:
-            self.store.note(input=now)
-        elif before != now:
+            self.store.note(input=list(now))
+        elif before != list(now):
             raise ValueError(f"run {self.store.run_id} was made from another input or date")
 
+    def _same_extracts(self) -> None:
+        """Extracts that a reopened run has loaded must be as they were; one
+        that failed may be mended."""
+        for e in self.store.events():
+            if e["layer"] == "bronze" and e["status"] == "loaded" and "input" in e:
+                if e["input"] != bronze_src.extract_state(self.spark, self.landing_dir, e["table"]):
+                    raise ValueError(f"run {self.store.run_id} has loaded another {e['table']}")
+
     def _lock(self, name: str) -> threading.Lock:
         """One lock per layer or table: concurrent callers build each once.
 
@@ -78,7 +87,8 @@ class Warehouse:
         w = cls(spark, None, as_of, store=store, strict=strict)
         w.landing_dir = landing_dir.rstrip("/")
         w.null_values = tuple(null_values)
-        w._same_input(w.landing_dir)
+        w._same_input(w.landing_dir, as_of, strict)
+        w._same_extracts()
         w._audit["landed"] = None
         return w
 
@@ -99,15 +109,18 @@ class Warehouse:
         if layer not in self._audit:
             with self._lock(layer):
                 if layer not in self._audit:
-                    self._audit[layer] = (
-                        self.store.read("audit", layer) if self.store.has("audit", layer)
-                        else self.store.write(load(), "audit", layer))
+                    self._audit[layer] = load()
         return self._audit[layer]
 
+    def load_audit(self, layer: str) -> DataFrame:
+        """The latest outcome of each table, also after a load that failed."""
+        return bronze_src.audit(self.store, layer)
+
     def load_bronze(self) -> DataFrame:
         def load() -> DataFrame:
             self.land()
-            return bronze_src.load_bronze(self.store, self.landing_dir, self.null_values)
+            return bronze_src.load_bronze(self.store, self.landing_dir, self.null_values,
+                                          lambda t: quality.row_checks("bronze", t, self.as_of))
 
         return self._audited("bronze", load)
 
@@ -123,37 +136,53 @@ class Warehouse:
     def load_silver(self) -> DataFrame:
         def load() -> DataFrame:
             self.load_bronze()  # prerequisites in this thread, before fanning out
-            began = time.time()
 
-            def one(table: str):
-                t0 = time.time()
+            def one(table: str) -> tuple[int, int]:
                 with scratch_of(self.spark):
-                    out = self.store.write(
-                        silver.build(table, self.bronze(table), self.as_of, self.strict),
-                        "silver", table)
-                return ("silver", table, out.count(), 0, round(time.time() - t0, 3), "loaded")
+                    self.store.write(
+                        silver.build(table, self.bronze(table), self.as_of, self.strict), "silver", table,
+                        observe={"rows": F.count(F.lit(1)),
+                                 **{k: F.count_if(c) for k, c in
+                                    quality.row_checks("silver", table, self.as_of).items()}})
+                return self.store.metrics("silver", table)["rows"], 0
 
-            done = run_concurrently({t: (lambda t=t: one(t)) for t in TABLES})
-            return self.spark.createDataFrame(
-                bronze_src.with_total("silver", [done[t] for t in TABLES], time.time() - began),
-                bronze_src.AUDIT_SCHEMA)
+            return bronze_src.load_layer(self.store, "silver", one)
 
         return self._audited("silver", load)
 
+    def counted(self, layer: str, table: str) -> dict:
+        """What was counted while a table was written: rows and row checks."""
+        if layer == "bronze":
+            self.load_bronze()
+            return self.store.metrics("bronze_staged", table)
+        if layer == "silver":
+            self.load_silver()
+        else:
+            self.gold(table)
+        return self.store.metrics(layer, table)
+
     def silver(self, table: str, with_load_ts: bool = False) -> DataFrame:
         self.load_silver()
         df = self.store.read("silver", table)
         return df if with_load_ts else df.select(*SILVER_COLUMNS[table])
 
     # ------------------------------------------------------------ gold
-    def _write_once(self, layer: str, name: str, build) -> DataFrame:
+    def _write_once(self, layer: str, name: str, build, **how) -> DataFrame:
         if not self.store.has(layer, name):
             with self._lock(f"{layer}/{name}"):
                 if not self.store.has(layer, name):
                     with scratch_of(self.spark):  # nothing of it is left afterwards
-                        self.store.write(build(), layer, name)
+                        self.store.write(build(), layer, name, **how)
         return self.store.read(layer, name)
 
+    def _heavy(self) -> dict[str, DataFrame | None]:
+        """Customers and products that hold too many sales for one partition."""
+        with self._lock("heavy"):
+            if self._heavy_keys is None:
+                self._heavy_keys = skew.heavy_keys(self.silver("crm_sales_details"),
+                                                   ["sls_cust_id", "sls_prd_key"])
+            return self._heavy_keys
+
     def gold(self, name: str) -> DataFrame:
         if name == "dim_customers":
             return self._write_once("gold", name, lambda: gold.dim_customers(
@@ -163,19 +192,44 @@ class Warehouse:
             return self._write_once("gold", name, lambda: gold.dim_products(
                 self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2")))
         if name == "fact_sales":
-            if not self.store.has("gold", name):
-                self.load_silver()  # prerequisites in this thread, before fanning out
-                run_concurrently({d: (lambda d=d: self.gold(d))
-                                  for d in ("dim_customers", "dim_products")})
-            return self._write_once("gold", name, lambda: gold.fact_sales(
-                self.silver("crm_sales_details"), self.gold("dim_products"),
-                self.gold("dim_customers")))
+            return self.sales().select(*self.store.columns("gold", name))
         raise KeyError(name)
 
+    def sales(self) -> DataFrame:
+        """The fact, bucketed by customer and salt, with both salts."""
+        if not self.store.has("gold", "fact_sales"):
+            self.load_silver()  # prerequisites in this thread, before fanning out
+            run_concurrently({"heavy": self._heavy, **{d: (lambda d=d: self.gold(d))
+                                                       for d in ("dim_customers", "dim_products")}})
+            run_concurrently({"fact": self._fact, "customers": self.customers_keyed,
+                              "products": self.products_keyed})
+        return self._fact()
+
+    def _fact(self) -> DataFrame:
+        return self._write_once(
+            "gold", "fact_sales", lambda: gold.fact_sales(
+                self.silver("crm_sales_details"), self.gold("dim_products"), self.gold("dim_customers"),
+                self._heavy()),
+            observe={"rows": F.count(F.lit(1)), **{k: F.count_if(c) for k, c in quality.row_checks(
+                "gold", "fact_sales", self.as_of).items()}},
+            buckets=("customer_key", "c_salt"), hidden=("c_salt", "p_salt"))
+
+    def sales_by_product(self) -> DataFrame:
+        return self._write_once("work", "sales_by_product", lambda: gold.sales_by_product(self.sales()),
+                                buckets=("product_key", "p_salt"))
+
+    def customers_keyed(self) -> DataFrame:
+        return self._write_once("work", "customers_keyed", lambda: gold.customers_keyed(
+            self.gold("dim_customers"), self._heavy()["sls_cust_id"]), buckets=("customer_key", "c_salt"))
+
+    def products_keyed(self) -> DataFrame:
+        return self._write_once("work", "products_keyed", lambda: gold.products_keyed(
+            self.gold("dim_products"), self._heavy()["sls_prd_key"]), buckets=("product_key", "p_salt"))
+
     # ------------------------------------------------------------ analytics
     def rfm_raw(self) -> DataFrame:
         return self._write_once("work", "rfm_raw", lambda: analytics.rfm_raw(
-            self.gold("fact_sales"), self.gold("dim_customers"), self.as_of))
+            self.sales(), self.customers_keyed(), self.as_of))
 
     def rfm_segmentation(self, best_high: bool = False) -> DataFrame:
         name = "rfm_scores_best_high" if best_high else "rfm_scores"
@@ -183,8 +237,11 @@ class Warehouse:
                                   lambda: analytics.rfm_scores(self.rfm_raw(), best_high))
         return analytics.rfm_segments(scores)
 
+    def customer_bitmaps(self) -> DataFrame:
+        return self._write_once("work", "customer_bitmaps", lambda: analytics.customer_bitmaps(self.sales()))
+
     def monthly_revenue(self) -> DataFrame:
-        return analytics.monthly_revenue(self.gold("fact_sales"))
+        return analytics.monthly_revenue(self.sales(), self.customer_bitmaps())
 
     def revenue_trends(self, exact: bool = False) -> DataFrame:
         return analytics.revenue_trends(self.monthly_revenue(), exact)
@@ -193,22 +250,19 @@ class Warehouse:
         self.rfm_segmentation()
         return self.store.read("work", "rfm_scores")
 
-    def sales_base(self) -> DataFrame:
-        return analytics.sales_base(self.gold("fact_sales"), self.gold("dim_products"),
-                                    self.gold("dim_customers"))
-
-    def kpi_base(self) -> DataFrame:
-        return self._write_once("work", "kpi_base", lambda: analytics.kpi_base(
-            self.gold("fact_sales"), self.gold("dim_products"), self.gold("dim_customers")))
+    def sales_marginals(self) -> DataFrame:
+        return self._write_once("work", "sales_marginals", lambda: analytics.sales_marginals(
+            self.sales(), self.gold("dim_products"), self.customers_keyed()))
 
     def kpi_summary(self, exact: bool = False) -> DataFrame:
-        return analytics.kpi_summary(self.gold("fact_sales"), self.gold("dim_products"),
-                                     self.gold("dim_customers"), exact, self.kpi_base())
+        run_concurrently({"marginals": self.sales_marginals, "bitmaps": self.customer_bitmaps})
+        return analytics.kpi_summary(self.sales(), self.gold("dim_products"), self.customers_keyed(), exact,
+                                     self.sales_marginals(), self.customer_bitmaps())
 
     def product_sales(self, exact: bool = False) -> DataFrame:
         name = "product_sales_exact" if exact else "product_sales"
         return self._write_once("work", name, lambda: analytics.product_sales(
-            self.gold("fact_sales"), self.gold("dim_products"), exact))
+            self.sales_by_product(), self.products_keyed(), exact))
 
     def product_ranked(self, exact: bool = False) -> DataFrame:
         name = "product_ranked_exact" if exact else "product_ranked"
@@ -230,6 +284,31 @@ class Warehouse:
         """Delete the ranking scratch folders (every consumer reads layer tables)."""
         delete_folder(self.spark, scratch_root(self.spark))
 
+    # ------------------------------------------------------------ publication
+    def _layers(self) -> list[tuple[str, str, str, str | None]]:
+        """(layer, table, folder's layer, condition) of all that is published."""
+        self.load_silver()
+        self.sales()
+        return [*[("bronze", t, "bronze_staged", f"{CORRUPT} IS NULL") for t in TABLES],
+                *[("silver", t, "silver", None) for t in TABLES],
+                *[("gold", t, "gold", None) for t in ("dim_customers", "dim_products", "fact_sales")]]
+
+    def publish(self, expected: int | None = None) -> int:
+        """Make this run's tables the newest published version and return it.
+
+        ``expected``: the version that the caller built on; it is an error if
+        another one was published since (default: whatever is newest now).
+        """
+        tables = {f"{layer}.{t}": {
+            "path": self.store.path(at, t), "schema": json.loads(self.store.schema(at, t).json()),
+            "columns": [c for c in self.store.columns(at, t) if c != CORRUPT], "where": where}
+            for layer, t, at, where in self._layers()}
+        self.store.publish()
+        target = Publication(self.spark, self.store.folder)
+        newest = (target.versions() or [0])[-1]
+        return target.publish({"run_id": self.store.run_id, "as_of": self.as_of, "tables": tables},
+                              newest if expected is None else expected)
+
     # ------------------------------------------------------------ catalog
     def publish_catalog(self, durable: bool = False) -> list[str]:
         """Register the run's tables as ``bronze.*``, ``silver.*``, ``gold.*``.
@@ -244,35 +323,18 @@ class Warehouse:
             raise RuntimeError("the catalog is in-memory: nobody could query the tables after this "
                                "session; start it with a persistent catalog (for example "
                                "spark.sql.catalogImplementation=hive)")
-        self.load_silver()
-        for g in ("dim_customers", "dim_products", "fact_sales"):
-            self.gold(g)
         names = []
-        for layer, tables in (("bronze", TABLES), ("silver", TABLES),
-                              ("gold", ["dim_customers", "dim_products", "fact_sales"])):
+        for layer, t, at, where in self._layers():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} "
                            f"LOCATION '{self.store.base}/catalog/{layer}'")
-            for t in tables:
-                staged = "bronze_staged" if layer == "bronze" else layer
-                clean = f"WHERE {CORRUPT} IS NULL" if layer == "bronze" else ""
-                cols = ", ".join(c for c in self.store.read(staged, t).columns if c != CORRUPT)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{t} AS SELECT {cols} "
-                               f"FROM parquet.`{self.store.path(staged, t)}` {clean}")
-                names.append(f"{layer}.{t}")
+            cols = ", ".join(c for c in self.store.columns(at, t) if c != CORRUPT)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{t} AS SELECT {cols} "
+                           f"FROM parquet.`{self.store.path(at, t)}` {'WHERE ' + where if where else ''}")
+            names.append(f"{layer}.{t}")
         self.store.publish()
         return names
 
 
-def input_state(spark: SparkSession, folder: str) -> str:
-    """Digest of names, sizes and times of the files under an input folder."""
-    root, fs = hadoop_path(spark, folder)
-    found, files = [], fs.listFiles(root, True)
-    while files.hasNext():
-        st = files.next()
-        found.append(f"{st.getPath().toString()} {st.getLen()} {st.getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
-
-
 _RUNS: dict[tuple, Warehouse] = {}
 _RUNS_LOCK = threading.Lock()
 

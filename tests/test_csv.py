@@ -16,10 +16,58 @@ def _write(root, table, text):
     return path
 
 
-def test_csv_header_order_is_an_error(spark, tmpdir_path):
-    path = _write(tmpdir_path, "erp_loc_a101", "cntry,cid\nDE,AW1\n")
-    with pytest.raises(Exception):
-        read_csv(spark, path, BRONZE["erp_loc_a101"]).collect()
+def _folder(root, table, files):
+    path = os.path.join(root, SOURCE_FILES[table])
+    os.makedirs(path, exist_ok=True)
+    for name, text in files.items():
+        with open(os.path.join(path, name), "wb") as fh:
+            fh.write(text.encode() if isinstance(text, str) else text)
+    return path
+
+
+def test_columns_are_found_by_header_name(spark, tmpdir_path):
+    """Every file of an extract has its own column order, quoting and case; a
+    column that a file lacks is NULL; hidden and empty files are no data."""
+    _folder(tmpdir_path, "crm_cust_info", {
+        "a.csv": "cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date\n"
+                 "1,AW1,An,One,S,F,2025-01-01\n",
+        "b.csv": "cst_create_date,cst_gndr,cst_id,cst_lastname,cst_marital_status,cst_firstname,cst_key\r\n"
+                 '2025-01-02,M,2,"Two, B",M,Bo,AW2\r\nnever,M,9,Nine,M,No,AW9\r\n',
+        "c.csv": b"\xef\xbb\xbf" + '"CST_KEY", Cst_Id ,cst_firstname\nAW3,3,Cy\nAW4,4\n'.encode(),
+        "d.csv": "cst_id,cst_key\n", "empty.csv": "", "_SUCCESS": "x", ".hidden.csv": "what,ever\n1,2\n"})
+    store = LayerStore(spark)
+    assert load_csv_table(store, tmpdir_path, "crm_cust_info") == (3, 2)
+    rows = {r.cst_id: r for r in bronze_table(store, "crm_cust_info").collect()}
+    assert tuple(rows[1])[:6] == (1, "AW1", "An", "One", "S", "F")
+    assert tuple(rows[2])[:6] == (2, "AW2", "Bo", "Two, B", "M", "M")
+    assert rows[2].cst_create_date.isoformat() == "2025-01-02"
+    assert tuple(rows[3]) == (3, "AW3", "Cy", None, None, None, None)
+    bad = sorted(r[0] for r in quarantine_table(store, "crm_cust_info").collect())
+    assert bad == ["AW4,4", "never,M,9,Nine,M,No,AW9"]      # as the file has them
+
+
+@pytest.mark.parametrize("header", ["cid,cntry,region", "cid,cid", "cntry,CID,cid", "cid;cntry"])
+def test_unknown_or_repeated_column_is_an_error(spark, tmpdir_path, header):
+    path = _folder(tmpdir_path, "erp_loc_a101", {"a.csv": "cid,cntry\nA,DE\n", "b.csv": header + "\nA,B,C\n"})
+    with pytest.raises(ValueError, match="b.csv"):
+        read_csv(spark, path, BRONZE["erp_loc_a101"])
+
+
+def test_one_order_is_one_scan(spark, tmpdir_path):
+    path = _folder(tmpdir_path, "erp_loc_a101", {f"{k}.csv": f"cntry,cid\nDE,A{k}\n" for k in range(40)})
+    df = read_csv(spark, path, BRONZE["erp_loc_a101"])
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert sorted(r.cid for r in df.collect()) == sorted(f"A{k}" for k in range(40))
+    other = _folder(tmpdir_path, "erp_loc_a101", {"x.csv": "cid,cntry\nX,FR\n"})
+    df = read_csv(spark, other, BRONZE["erp_loc_a101"])
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    assert df.count() == 41 and df.filter("cntry = 'FR'").first().cid == "X"
+
+
+def test_a_field_is_converted_once(spark, tmpdir_path):
+    path = _write(tmpdir_path, "crm_sales_details", "sls_ord_num,sls_sales\nS,1\n")
+    plan = read_csv(spark, path, BRONZE["crm_sales_details"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("try_cast(") == 1 and plan.count("trim(sls_sales") == 2  # the value; what failed
 
 
 def test_csv_quarantine_nulls_text_crlf(spark, tmpdir_path):

@@ -219,9 +219,9 @@ def test_concurrent_callers_build_each_layer_once(spark):
     writes = []
     original = w.store.write
 
-    def counting_write(df, layer, table):
+    def counting_write(df, layer, table, **how):
         writes.append((layer, table))
-        return original(df, layer, table)
+        return original(df, layer, table, **how)
 
     w.store.write = counting_write
     jobs = [lambda: w.revenue_trends().count(), lambda: w.kpi_summary().count(),
