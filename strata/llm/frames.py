@@ -26,18 +26,18 @@ class Scratch:
         self.spark = spark
         self.root = f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
-        self._paths: dict[int, str] = {}
+        self._paths: dict[int, tuple[DataFrame, str]] = {}  # holds the frame, so that its id stays its own
 
     def write(self, df: DataFrame) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n}"
         df.write.parquet(path)
         out = self.spark.read.schema(_nullable(df.schema)).parquet(path)
-        self._paths[id(out)] = path
+        self._paths[id(out)] = out, path
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self._paths.pop(id(df), None)
+        _, path = self._paths.pop(id(df), (None, None))
         if path:
             _delete(self.spark, path)
 

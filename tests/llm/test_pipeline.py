@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from strata.llm import mixing, tokenfile
-from tests.llm import test_decontaminate, test_language, test_neardup, test_tokenfile
+from tests.llm import test_decontaminate, test_language, test_mixing, test_neardup, test_tokenfile
 
 D = "/root/testdata/sf0.001"
 
@@ -31,17 +31,8 @@ def rates(rows):
     n = {}
     for c, (_, t, _, _) in zip(cell, rows, strict=True):
         n[c] = n.get(c, 0) + max(len(re.findall(mixing.WORD, t)), 1)
-    total, w = sum(n.values()), {c: float(x) for c, x in n.items()}
-    share = []
-    for k, d in enumerate(mixing.DIMS):
-        raw = {v: (sum(x for c, x in n.items() if c[k] == v) / total) ** mixing.TEMPER[d] for v in {c[k] for c in n}}
-        share.append({v: x / sum(raw.values()) for v, x in raw.items()})
-    for _ in range(mixing.ROUNDS):
-        for k in range(3):
-            mass = {v: sum(x for c, x in w.items() if c[k] == v) for v in share[k]}
-            w = {c: x * share[k][c[k]] * total / mass[c[k]] for c, x in w.items()}
-    top = max(w[c] / n[c] for c in n)
-    return [w[c] / n[c] / top for c in cell]
+    rate = test_mixing.plain(n, test_mixing.shares(n, mixing.TEMPER), P.KEEP)
+    return [rate[c] for c in cell]
 
 
 def test_equals_plain_stages(spark):
