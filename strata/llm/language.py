@@ -168,8 +168,9 @@ def _find(model: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, model["h"][at] == h
 
 
-def _totals(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of log frequencies by text and language, and which have a letter."""
+def _totals(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of log frequencies by text and language, which have a letter, and
+    which have a word or n-gram that was learned."""
     c = Chars(texts)
     score = np.zeros((len(c.start), len(model["langs"])))
     at, known = _find(model, c.hash(c.start, c.end, 0))
@@ -190,7 +191,11 @@ def _totals(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             done[of] = True
             rest = rest[~done]
     cum = np.concatenate([np.zeros((1, score.shape[1])), np.cumsum(score, 0)])
-    return cum[c.row_off[1:]] - cum[c.row_off[:-1]], np.diff(c.row_off) > 0
+    told = np.ones(len(c.start), np.int64)
+    told[rest] = 0
+    told = np.concatenate([[0], np.cumsum(told)])
+    return (cum[c.row_off[1:]] - cum[c.row_off[:-1]], np.diff(c.row_off) > 0,
+            told[c.row_off[1:]] > told[c.row_off[:-1]])
 
 
 def predict(model: dict, col: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -200,7 +205,7 @@ def predict(model: dict, col: pa.Array) -> tuple[list[str], np.ndarray]:
         return pred, score
     total, has = np.zeros((len(col), len(model["langs"]))), np.zeros(len(col), bool)
     for rows, texts in _slices(col):
-        own, letters = _totals(model, texts)
+        own, letters, _ = _totals(model, texts)
         total[rows] += own
         has[rows] |= letters
     e = np.exp(total - total.max(1, keepdims=True))
@@ -229,13 +234,24 @@ def identify(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
     return arrow_map(docs.select("doc_id", held.alias("held_out"), "text"), run, PREDICTED)
 
 
+def told(model: dict, col: pa.Array) -> np.ndarray:
+    """Which texts of a column have a word or n-gram that was learned."""
+    out = np.zeros(len(col), bool)
+    for rows, texts in _slices(col) if len(col) else ():
+        out[rows] |= _totals(model, texts)[2]
+    return out
+
+
 def keep_known(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language can be told."""
+    """The rows of ``docs``, all columns, whose language can be told: texts in
+    which some word or n-gram was learned.  If nothing could be learned, as no
+    row has a label, all rows."""
     model = _fitted(docs.select("doc_id", "text", "lang"), fit_docs)
+    if not model.value["langs"]:
+        return docs
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        pred, _ = predict(model.value, b.column("text"))
-        yield b.filter(pa.array([p != UND for p in pred]))
+        yield b.filter(pa.array(told(model.value, b.column("text"))))
 
     return arrow_map(docs, run, docs.schema)
 

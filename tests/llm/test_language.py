@@ -92,7 +92,9 @@ def test_odd_rows(spark):
     assert by[4] == by[5] == by[6] == "und" and by[8] == "de" and by[9] == "de"
     assert by[7] in ("de", "en") and all(0 <= r["score"] <= 1 for r in got)
     kept = L.keep_known(df)
-    assert kept.columns == df.columns and kept.count() == len(data) - 3
+    assert kept.columns == df.columns and kept.count() == len(data) - 5
+    # without a letter, or in scripts of which nothing was learned
+    assert {r[0] for r in data} - {r.doc_id for r in kept.collect()} == {4, 5, 6, 7, 11}
 
 
 def test_nothing_to_learn_and_empty(spark):
@@ -128,3 +130,12 @@ def test_very_long_texts_come_in_pieces(monkeypatch):
     assert whole[0] == cut[0] == ["de", "en", "und", cut[0][3], cut[0][4], "und", "und"]
     assert L.np.allclose(whole[1], cut[1])
     assert "".join(L._pieces(texts[0])) == texts[0] and len(list(L._pieces(texts[0]))) > 5
+
+
+def test_stage_passes_all_on_without_labels_and_rejects_unknown_scripts(spark):
+    rows = [(k, "the old house by the river", "en") for k in range(20)] + [
+        (100, "日本語の文章", None), (101, "ελληνικό κείμενο", None), (102, "a river", None), (103, "...", None), (104, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in L.keep_known(docs).collect()} == {*range(20), 102}
+    bare = docs.withColumn("lang", docs.lang.substr(9, 0)).selectExpr("doc_id", "text", "nullif(lang, '') AS lang")
+    assert L.keep_known(bare).count() == len(rows)
