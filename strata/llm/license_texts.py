@@ -53,6 +53,65 @@ _MIT_BODY = (
     "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
     "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
 
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either "
+    "in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+    "by any means.\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate "
+    "any and all copyright interest in the software to the public domain. We make this dedication for "
+    "the benefit of the public at large and to the detriment of our heirs and successors. We intend "
+    "this dedication to be an overt act of relinquishment in perpetuity of all present and future "
+    "rights to this software under copyright law.\n" + _AS_IS +
+    "IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+    "THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n")
+
+_BOOST = (
+    "Boost Software License - Version 1.0 - August 17th, 2003\n"
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of "
+    "the software and accompanying documentation covered by this license (the \"Software\") to use, "
+    "reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+    "works of the Software, and to permit third-parties to whom the Software is furnished to do so, "
+    "all subject to the following:\n"
+    "The copyright notices in the Software and this entire statement, including the above license "
+    "grant, this restriction and the following disclaimer, must be included in all copies of the "
+    "Software, in whole or in part, and all derivative works of the Software, unless such copies or "
+    "derivative works are solely in the form of machine-executable object code generated by a source "
+    "language processor.\n"
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+    "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND "
+    "NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE "
+    "LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+
+_APACHE_HEADER = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+    "in compliance with the License. You may obtain a copy of the License at\n"
+    "http://www.apache.org/licenses/LICENSE-2.0\n"
+    "Unless required by applicable law or agreed to in writing, software distributed under the License "
+    "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
+    "or implied. See the License for the specific language governing permissions and limitations under "
+    "the License.")
+
+
+def _gnu_header(what: str, license_name: str, version: str, end: str) -> str:
+    """The notice that the GNU licences ask to be put into each file."""
+    return (
+        f"This {what} is free software{end} you can redistribute it and/or modify it under the terms of the "
+        f"{license_name} as published by the Free Software Foundation, either version {version} of the License, "
+        f"or (at your option) any later version.\n"
+        f"This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        f"{license_name} for more details.\n"
+        f"You should have received a copy of the {license_name} along with this {what}. If not, see "
+        f"<https://www.gnu.org/licenses/>.")
+
+
+_MPL_HEADER = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+    "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+
 KNOWN = [
     ("MIT", "MIT License\n" + _MIT_BODY),
     ("MIT", _MIT_BODY),
@@ -73,6 +132,17 @@ KNOWN = [
              "appreciated but is not required.\n2. Altered source versions must be plainly marked "
              "as such, and must not be misrepresented as being the original software.\n3. This "
              "notice may not be removed or altered from any source distribution."),
+    ("Unlicense", _UNLICENSE + "For more information, please refer to <https://unlicense.org/>"),
+    ("Unlicense", _UNLICENSE + "For more information, please refer to <http://unlicense.org/>"),
+    ("Unlicense", _UNLICENSE),
+    ("BSL-1.0", _BOOST),
+    # the whole notices that licences ask to be put into files
+    ("Apache-2.0", _APACHE_HEADER),
+    ("GPL-2.0", _gnu_header("program", "GNU General Public License", "2", ";")),
+    ("GPL-3.0", _gnu_header("program", "GNU General Public License", "3", ":")),
+    ("AGPL-3.0", _gnu_header("program", "GNU Affero General Public License", "3", ":")),
+    ("LGPL-2.1", _gnu_header("library", "GNU Lesser General Public License", "2.1", ";")),
+    ("MPL-2.0", _MPL_HEADER),
     # one-line notices
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),

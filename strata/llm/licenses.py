@@ -1,7 +1,8 @@
 """Licence scan by canonical digest lookup, in SQL functions.
 
-A text's canonical form is lower case without copyright lines, punctuation
-and line breaks, one space after every word, with equivalent spellings
+A text's canonical form is lower case without copyright statements, punctuation
+and line breaks (any run of blanks and line breaks is one space), one space
+after every word, with equivalent spellings
 (licence/license, -ise/-ize, whilst/while, copyright owner/holder, ...) made
 equal by suffix rules.  Known licences are put through the same function, and
 the digests are hash-joined: the whole text of a document against all known
@@ -21,11 +22,17 @@ from pyspark.sql import functions as F
 from strata.llm.frames import Scratch, small, table
 from strata.llm.license_texts import KNOWN
 
-# Lines that name a copyright holder or reserve rights; then, on words each
-# followed by one space, equivalent spellings (pattern, replacement).  Both
-# sides of a comparison go through the same rules.
-COPYRIGHT = (r"(^|\n)[^\p{L}\p{N}\n]*"
-             r"(?:copyright(?:[^\p{L}\n]*[0-9(©]| by )|\(c\)|©|all rights reserved)[^\n]*")
+# A statement of who holds the copyright or reserves rights ends where a known
+# licence opens on its line; one that begins a line takes the rest of it.  Then,
+# on words each followed by one space, equivalent spellings (pattern,
+# replacement).  Both sides of a comparison go through the same rules.
+STATEMENT = r"(?:copyright(?:[^\p{L}\n]*[0-9(©]| by )|\(c\)[^\p{L}\n]*[0-9]|©|all rights reserved)"
+OPENINGS = ("permission is hereby granted", "permission to use", "redistribution and use", "licensed under",
+            "released under", "this software is provided", "this work is licensed", "this program is free software",
+            "this library is free software", "this source code form is subject", "spdx-license-identifier",
+            "everyone is permitted")
+OPENED = STATEMENT + r"[^\n]*?(" + "|".join(OPENINGS) + ")"
+COPYRIGHT = r"(^|\n)[^\p{L}\p{N}\n]*" + STATEMENT + r"[^\n]*"
 MARKS = r"[^\p{L}\p{N}\n]+"
 SPELLING = [
     (r"([iy])s(e|es|ed|ing|ation|ations) ", r"$1z$2 "),
@@ -50,6 +57,7 @@ LITERAL = [
 def canonical_lines(text: Column) -> Column:
     """Canonical text with a line break after every line."""
     t = F.lower(F.concat(F.coalesce(text, F.lit("")), F.lit("\n")))
+    t = F.regexp_replace(t, OPENED, "$1")
     t = F.regexp_replace(t, COPYRIGHT, "$1")
     t = F.regexp_replace(t, MARKS, " ")
     t = F.regexp_replace(t, r" ?\n ?", " \n")
@@ -63,7 +71,7 @@ def canonical_lines(text: Column) -> Column:
 def _units(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """(keep..., digest, whole) of the whole text and of every line."""
     canon = df.select(*keep, canonical_lines(F.col(text)).alias("_c"))
-    whole = F.struct(F.regexp_replace(F.col("_c"), " *\n *", " ").alias("u"), F.lit(True).alias("w"))
+    whole = F.struct(F.regexp_replace(F.col("_c"), "[ \n]+", " ").alias("u"), F.lit(True).alias("w"))
     lines = F.transform(F.split("_c", "\n"), lambda u: F.struct(u.alias("u"), F.lit(False).alias("w")))
     # both from one canonical text: the rules run once
     each = canon.select(*keep, F.explode(F.concat(F.array(whole), lines)).alias("_x"))
@@ -96,7 +104,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     def canon(col: str) -> str:
         t = f"lower(coalesce({col}, '') || chr(10))"
-        for pattern, to in [(COPYRIGHT, "$1"), (MARKS, " "), (r" ?\n ?", " \n"), *SPELLING]:
+        for pattern, to in [(OPENED, "$1"), (COPYRIGHT, "$1"), (MARKS, " "), (r" ?\n ?", " \n"), *SPELLING]:
             to = to.replace("$", "\\").replace("'", "''")
             t = f"regexp_replace({t}, '{pattern}', {_lit(to)}, 'g')"
         for old, new in LITERAL:
@@ -108,10 +116,10 @@ def _oracle() -> str:
 
     known = ", ".join(f"('{i}', {_lit(t.replace(chr(39), chr(39) * 2))})" for i, t in KNOWN)
     return f"""WITH k AS (SELECT * FROM (VALUES {known}) v(license_id, text)),
-known AS (SELECT DISTINCT license_id, md5(trim(regexp_replace({canon("text")}, ' *\\n *', ' ', 'g'))) AS digest
+known AS (SELECT DISTINCT license_id, md5(trim(regexp_replace({canon("text")}, '[ \\n]+', ' ', 'g'))) AS digest
   FROM k),
 c AS (SELECT doc_id, {canon("text")} AS t FROM documents),
-u AS (SELECT doc_id, trim(regexp_replace(t, ' *\\n *', ' ', 'g')) AS u, true AS whole FROM c
+u AS (SELECT doc_id, trim(regexp_replace(t, '[ \\n]+', ' ', 'g')) AS u, true AS whole FROM c
   UNION ALL SELECT doc_id, trim(unnest(string_split(t, chr(10)))) AS u, false AS whole FROM c)
 SELECT doc_id, license_id, bool_or(whole) AS in_whole,
   sum(CASE WHEN whole THEN 0 ELSE 1 END)::BIGINT AS n_lines

@@ -47,3 +47,39 @@ def test_own_registry(spark):
     df = spark.createDataFrame([(1, "Do what you like.")], "doc_id long, text string")
     own = spark.createDataFrame([("ANY", "do what you LIKE")], "license_id string, text string")
     assert [tuple(r) for r in L.scan(df, own).collect()] == [(1, "ANY", True, 1)]
+
+
+MIT = dict(KNOWN[::-1])["MIT"]
+BODY = next(t for i, t in KNOWN if i == "MIT" and t.startswith("Permission"))
+BSD = next(t for i, t in KNOWN if i == "BSD-3-Clause")
+APACHE = next(t for i, t in KNOWN if i == "Apache-2.0" and "\n" in t)
+ORDINARY = {
+    1: "MIT License\n\nCopyright (c) 2020 Someone\n\n" + BODY,
+    2: "Copyright (c) 2020 Someone\n" + BODY,
+    3: BODY.replace("conditions:\n", "conditions:\n\n\n"),
+    4: "Copyright 2019 A. Holder, Inc. All rights reserved.\n\n" + BSD.replace("\n", "\n\n"),
+    5: "Copyright (c) 2024 Acme. Licensed under the MIT License.",
+    6: ("MIT License Copyright (c) 2020 X. Y. " + BODY).replace("\n", " "),
+    7: ("(c) 2020 X, all rights reserved. " + BODY).replace("\n", " "),
+    8: "  Copyright 2020 Me\n\n" + "\n".join("   " + w for w in APACHE.split(". ")).replace("\n", ".  \n"),
+}
+
+
+def test_ordinary_licence_files_are_found_by_both_engines(spark, tmp_path):
+    path = f"{tmp_path}/documents.parquet"
+    df = spark.createDataFrame(list(ORDINARY.items()), "doc_id long, text string")
+    df.write.parquet(path)
+    got = sorted(tuple(r) for r in L.query(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert got == sorted(con.execute(L.ORACLE).fetchall())
+    whole = {d: i for d, i, w, _ in got if w}
+    assert whole == {1: "MIT", 2: "MIT", 3: "MIT", 4: "BSD-3-Clause", 5: "MIT", 6: "MIT", 7: "MIT", 8: "Apache-2.0"}
+
+
+def test_every_known_text_is_found_with_other_line_breaks(spark):
+    rows = [(k, "Copyright (C) 2001 Holder\n\n" + t.replace(" ", "\n", 3).replace("\n", "\n\n "))
+            for k, (_, t) in enumerate(KNOWN) if "\n" in t]
+    got = {r.doc_id: r.license_id for r in L.scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).filter("in_whole").collect()}
+    assert got == {k: KNOWN[k][0] for k, _ in rows}
