@@ -131,8 +131,9 @@ def parts(docs: DataFrame) -> DataFrame:
 
 
 def linked(found: DataFrame) -> DataFrame:
-    """Weak spans with a complementary part in scope, by (doc_id, h)."""
-    every = found.select("doc_id", "h", F.explode(F.concat(*KINDS)).alias("x")).select(
+    """Weak spans with a complementary part in scope, by (doc_id, h): rows of
+    one id and text are linked once, however many there are."""
+    every = found.dropDuplicates(["doc_id", "h"]).select("doc_id", "h", F.explode(F.concat(*KINDS)).alias("x")).select(
         "doc_id", "h", F.col("x.s").alias("s"), F.col("x.k").alias("k"), F.col("x.e").alias("e"))
     names = list(KINDS)
     role = F.element_at(F.array(*[F.lit(KINDS[n][1]) for n in names]), F.col("k") + 1)

@@ -62,3 +62,14 @@ def test_native_and_empty(spark):
     assert out.count() == 0
     plan = S.parts(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_equal_rows_are_linked_once(spark):
+    text = "login = someone secret pw https://host/x " + "AbC123dEf456GhI789jKl012MnO " * 5
+    rows = [(1, text)] * 3000 + [(None, text)] * 3000 + [(2, text + "!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = S.parts(df)
+    weak = S.linked(found)
+    assert weak.count() == 3 and weak.selectExpr("max(size(weak))").first()[0] >= 6
+    got = S.scan(df)
+    assert got.count() == 6001 and got.select("spans").distinct().count() == 1
