@@ -15,8 +15,9 @@ def contract(links: DataFrame, scratch: Scratch) -> DataFrame:
     A round points every node at its smallest neighbour (or itself), jumps
     once along the pointers and replaces the links' ends by what they point
     at, until no link joins two different nodes.  Aggregates combine before
-    the shuffle and each round is written, so a node with many links costs no
-    task more than its share.
+    the shuffle and each round is written.  The joins on the pointers' targets
+    bring all that point at one node into one task (Spark splits it only if it
+    is large), so a node with very many links is a hot key there.
     """
     edges = scratch.write(links.select("a", "b").filter("a != b").distinct())
     labels = None
