@@ -6,7 +6,7 @@ the one before kept, written as Parquet in the shared folder and reread.
    of 0.8 or more);
 3. decontamination: rows hit by a 10-word window of ``benchmark`` go;
 4. mixing: rows are sampled by probabilities fitted to source, language and
-   topic targets, scaled to keep ``KEEP`` of all words;
+   topic targets that add up to ``KEEP`` of all words;
 5. token file: the ids of what is left are bit-packed and written in document
    order; the rows are the digests read back from the files.
 
