@@ -42,17 +42,23 @@ def _per_group(orders: DataFrame, dim: DataFrame, key: str, salt: str, group: tu
     ``aggs`` merges a value with itself.  Where the frames are bucketed by (key,
     salt), nothing is shuffled until a key without a shared group is one row
     per salt.  Only groups that several keys share keep their orders to the
-    end, as these keys may hold the same order.
+    end, as these keys may hold the same order; they travel under the group's
+    smallest key, and the group itself as one more row of that key.
     """
     on = [key, salt]
-    known = orders.join(dim.select(*on, "shared"), on)
+    known = orders.join(dim.select(*on, "shared", "group_key"), on)
     shared = F.when(F.col("shared"), F.col("order_number")).alias("_order")
     own = F.count_if(~F.col("shared") & F.col("order_number").isNotNull()).alias("_own")
     merge = [c.alias(n) for n, c in aggs.items()]
-    local = known.groupBy(*on, shared).agg(*merge, own)
-    merged = (local.join(dim.select(*on, *group), on).groupBy(*group, "_order")
-              .agg(*merge, F.sum("_own").alias("_own")))
-    return merged.groupBy(*group).agg(*merge, (F.sum("_own") + F.count("_order")).alias("orders"))
+    local = known.groupBy(*on, "group_key", shared).agg(*merge, own)
+    named = dim.filter((F.col(key) == F.col("group_key")) & (F.col(salt) == 0)).select(
+        "group_key", F.struct(*group).alias("_group"))
+    merged = local.groupBy("group_key", "_order").agg(*merge, F.sum("_own").alias("_own"))
+    whole = merged.groupBy("group_key").agg(*merge, (F.sum("_own") + F.count("_order")).alias("orders"))
+    # one row of results and one of names for each group that has sales
+    rows = whole.unionByName(named, allowMissingColumns=True)
+    return (rows.groupBy("group_key").agg(*[F.max(c).alias(c) for c in (*aggs, "orders", "_group")])
+            .filter("orders is not null").select("_group.*", *aggs, "orders"))
 
 
 def _dated_orders(sales: DataFrame, key: str, salt: str, *aggs: Column) -> DataFrame:

@@ -109,12 +109,12 @@ PRODUCT_GROUP = ("product_name", "category", "subcategory", "product_line", "cos
 def keyed(dim: DataFrame, key: str, group: tuple[str, ...], business: str, salt: str,
           heavy: DataFrame | None = None) -> DataFrame:
     """A dimension laid out to meet the fact: key, salt (a row for each salt
-    that rows of its heavy ``business`` key have), the reporting group, and
-    whether other keys share that group."""
+    that rows of its heavy ``business`` key have), the reporting group, whether
+    other keys share that group, and the smallest key of the group."""
     same = Window.partitionBy(*group)
     narrow = dim.select(key, *dict.fromkeys((*group, business))).withColumn(
-        "shared", F.count(F.lit(1)).over(same) > 1)
-    return skew.replicated(narrow, business, heavy, salt).select(key, salt, *group, "shared")
+        "shared", F.count(F.lit(1)).over(same) > 1).withColumn("group_key", F.min(key).over(same))
+    return skew.replicated(narrow, business, heavy, salt).select(key, salt, *group, "shared", "group_key")
 
 
 def customers_keyed(dc: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
