@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.selection import kth_rows
-from strata.session import checkpoint_root
+from strata.session import checkpoint_root, partitions
 from strata.sources.store import delete_folder, materialize
 
 _PART, _MID, _OFF, _TOTAL = "_rk_part", "_rk_mid", "_rk_off", "_rk_total"
@@ -112,7 +112,7 @@ def _chunked(ranked: DataFrame, rn: str, rows: int | None = None) -> DataFrame:
     """Add ``_ck``: runs of consecutive row numbers, as many as the session has
     shuffle partitions (or of ``rows`` each), so windows over a run are even,
     and a table of one row per run is bounded by the partition count."""
-    runs = int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = partitions(ranked.sparkSession)
     size = F.lit(rows) if rows else F.greatest(
         F.call_function("div", F.col(_TOTAL) + (runs - 1), F.lit(runs)), F.lit(1))
     return ranked.withColumn("_ck", F.call_function("div", F.col(rn) - 1, size)).drop(_TOTAL)

@@ -14,13 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata import session
+
 SHARE = 4            # a key with more than 1/SHARE of a partition's rows is heavy
 SKETCH_KEYS = 10000  # the sketch reports this many keys at most
 SKETCH_ROOM = 64     # items that the sketch tracks for each heavy key there can be
 
 
 def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return session.partitions(df.sparkSession)
 
 
 def heavy_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> dict[str, DataFrame | None]:

@@ -61,6 +61,10 @@ def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
     """The column names in the first line of a file."""
     p, fs = hadoop_path(spark, file)
     stream = fs.open(p)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None:  # by the file's name, as Spark reads it
+        stream = codec.createInputStream(stream)
     try:
         head = bytes(stream.readNBytes(HEADER_BYTES))
     finally:
@@ -142,9 +146,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     return typed
 
 
-def write_csv(df: DataFrame, path: str, null_value: str = "", append: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, null_value: str = "", append: bool = False,
+              compression: str = "none") -> None:
     """Write an extract with a header, keeping leading and trailing spaces."""
-    (df.write.mode("append" if append else "overwrite").option("header", True)
+    (df.write.option("compression", compression).mode("append" if append else "overwrite").option("header", True)
      .option("quote", '"').option("escape", '"')
      .option("nullValue", null_value)
      .option("ignoreLeadingWhiteSpace", False)

@@ -27,7 +27,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-from strata.session import checkpoint_root
+from strata.session import checkpoint_root, partitions
+
+
+CODEC = "zstd"  # of layer tables and lineage cuts
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -202,7 +205,7 @@ class LayerStore:
         shuffle.  ``hidden``: columns that are not part of the table's face.
         """
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions(self.spark)
         if buckets:
             df = df.repartition(n, *buckets)
         seen = None
@@ -210,10 +213,10 @@ class LayerStore:
             seen = Observation(f"{layer}.{table}")
             df = df.observe(seen, *[c.alias(k) for k, c in observe.items()])
         if buckets:
-            (df.write.format("parquet").mode("overwrite").bucketBy(n, *buckets)
+            (df.write.format("parquet").mode("overwrite").option("compression", CODEC).bucketBy(n, *buckets)
              .option("path", self.path(layer, table)).saveAsTable(self._name(layer, table)))
         else:
-            df.write.mode("overwrite").parquet(self.path(layer, table))
+            df.write.mode("overwrite").option("compression", CODEC).parquet(self.path(layer, table))
         entry = {"layer": layer, "table": table, "schema": json.loads(schema.json()),
                  "metrics": seen.get if seen else {}, "buckets": [n, *buckets] if buckets else [],
                  "hidden": list(hidden)}
@@ -301,7 +304,7 @@ class LayerStore:
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back: a durable lineage cut."""
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
