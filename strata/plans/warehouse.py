@@ -19,15 +19,16 @@ from strata.operators import skew
 from strata.operators.ranking import scratch_of, scratch_root
 from strata.plans import analytics, gold, quality, silver
 from strata.schemas import SILVER_COLUMNS, TABLES
-from strata.session import DEFAULT_AS_OF
+from strata.session import DEFAULT_AS_OF, enough_partitions
 from strata.sources import bronze as bronze_src
 from strata.sources.csv import CORRUPT
-from strata.sources.fixtures import malformed, source_table
+from strata.sources.fixtures import driver_table, malformed, source_table
 from strata.sources.publication import Publication
 from strata.sources.store import LayerStore, delete_folder, input_state, run_concurrently
 
 # Null marker of the landing extracts written here ('' stays an empty string).
 LANDING_NULL = "\\N"
+PART_ROWS = 1 << 20  # sales rows in one partition of a shuffle, about
 
 
 class Warehouse:
@@ -49,6 +50,7 @@ class Warehouse:
         self._locks_guard = threading.Lock()
         if sf_dir is not None:
             self._same_input(input_state(spark, sf_dir), as_of, strict)
+            enough_partitions(spark, driver_table(spark, sf_dir, "lineitem").count(), PART_ROWS)
 
     def _same_input(self, *now) -> None:
         before = self.store.noted("input")
@@ -93,16 +95,31 @@ class Warehouse:
         return w
 
     # ------------------------------------------------------------ sources
-    def land(self) -> None:
-        """Write the six source extracts as CSV files (the warehouse's input)."""
+    def land(self, only: str | None = None) -> None:
+        """Write the six source extracts as CSV files (the warehouse's input),
+        or ``only`` one of them."""
         if "landed" in self._audit:
             return
-        with self._lock("landed"):
-            if "landed" not in self._audit:
-                tables = {t: source_table(self.spark, self.sf_dir, t) for t in TABLES}
-                bronze_src.land_sources(self.spark, tables, self.landing_dir, LANDING_NULL,
-                                        malformed(self.spark, self.sf_dir))
-                self._audit["landed"] = None
+        if only is None:
+            run_concurrently({t: (lambda t=t: self.land(t)) for t in TABLES})
+            self._audit["landed"] = None
+            return
+        with self._lock(f"landed/{only}"):
+            if f"landed/{only}" not in self._audit:
+                bronze_src.land_sources(self.spark, {only: source_table(self.spark, self.sf_dir, only)},
+                                        self.landing_dir, LANDING_NULL, malformed(self.spark, self.sf_dir),
+                                        compression="gzip")
+                self._audit[f"landed/{only}"] = None
+
+    def _loaded(self, layer: str, table: str, load) -> None:
+        """One table of a layer, if it is not there yet: a query pays for the
+        tables that it is made from, not for all six."""
+        if layer in self._audit or f"{layer}/{table}" in self._audit:
+            return
+        with self._lock(f"{layer}/{table} load"):
+            if f"{layer}/{table}" not in self._audit:
+                load(table)
+                self._audit[f"{layer}/{table}"] = None
 
     def _audited(self, layer: str, load) -> DataFrame:
         """The audit of a layer's load, which runs once (also if reopened)."""
@@ -116,53 +133,56 @@ class Warehouse:
         """The latest outcome of each table, also after a load that failed."""
         return bronze_src.audit(self.store, layer)
 
-    def load_bronze(self) -> DataFrame:
-        def load() -> DataFrame:
-            self.land()
-            return bronze_src.load_bronze(self.store, self.landing_dir, self.null_values,
-                                          lambda t: quality.row_checks("bronze", t, self.as_of))
+    def _bronze(self, only: str | None = None) -> DataFrame:
+        self.land(only)
+        return bronze_src.load_bronze(self.store, self.landing_dir, self.null_values,
+                                      lambda t: quality.row_checks("bronze", t, self.as_of), only)
 
-        return self._audited("bronze", load)
+    def load_bronze(self) -> DataFrame:
+        return self._audited("bronze", self._bronze)
 
     def bronze(self, table: str) -> DataFrame:
-        self.load_bronze()
+        self._loaded("bronze", table, self._bronze)
         return bronze_src.bronze_table(self.store, table)
 
     def quarantine(self, table: str) -> DataFrame:
-        self.load_bronze()
+        self._loaded("bronze", table, self._bronze)
         return bronze_src.quarantine_table(self.store, table)
 
     # ------------------------------------------------------------ silver
-    def load_silver(self) -> DataFrame:
-        def load() -> DataFrame:
+    def _silver(self, only: str | None = None) -> DataFrame:
+        if only is None:
             self.load_bronze()  # prerequisites in this thread, before fanning out
+        else:
+            self.bronze(only)
 
-            def one(table: str) -> tuple[int, int]:
-                with scratch_of(self.spark):
-                    self.store.write(
-                        silver.build(table, self.bronze(table), self.as_of, self.strict), "silver", table,
-                        observe={"rows": F.count(F.lit(1)),
-                                 **{k: F.count_if(c) for k, c in
-                                    quality.row_checks("silver", table, self.as_of).items()}})
-                return self.store.metrics("silver", table)["rows"], 0
+        def one(table: str) -> tuple[int, int]:
+            with scratch_of(self.spark):
+                self.store.write(
+                    silver.build(table, self.bronze(table), self.as_of, self.strict), "silver", table,
+                    observe={"rows": F.count(F.lit(1)),
+                             **{k: F.count_if(c) for k, c in
+                                quality.row_checks("silver", table, self.as_of).items()}})
+            return self.store.metrics("silver", table)["rows"], 0
 
-            return bronze_src.load_layer(self.store, "silver", one)
+        return bronze_src.load_layer(self.store, "silver", one, only=only)
 
-        return self._audited("silver", load)
+    def load_silver(self) -> DataFrame:
+        return self._audited("silver", self._silver)
 
     def counted(self, layer: str, table: str) -> dict:
         """What was counted while a table was written: rows and row checks."""
         if layer == "bronze":
-            self.load_bronze()
+            self.bronze(table)
             return self.store.metrics("bronze_staged", table)
         if layer == "silver":
-            self.load_silver()
+            self.silver(table)
         else:
             self.gold(table)
         return self.store.metrics(layer, table)
 
     def silver(self, table: str, with_load_ts: bool = False) -> DataFrame:
-        self.load_silver()
+        self._loaded("silver", table, self._silver)
         df = self.store.read("silver", table)
         return df if with_load_ts else df.select(*SILVER_COLUMNS[table])
 
@@ -198,7 +218,6 @@ class Warehouse:
     def sales(self) -> DataFrame:
         """The fact, bucketed by customer and salt, with both salts."""
         if not self.store.has("gold", "fact_sales"):
-            self.load_silver()  # prerequisites in this thread, before fanning out
             run_concurrently({"heavy": self._heavy, **{d: (lambda d=d: self.gold(d))
                                                        for d in ("dim_customers", "dim_products")}})
             run_concurrently({"fact": self._fact, "customers": self.customers_keyed,

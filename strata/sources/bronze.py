@@ -56,10 +56,11 @@ def extract_state(spark: SparkSession, landing_dir: str, table: str) -> str:
 
 
 def load_layer(store: LayerStore, layer: str, load: Callable[[str], tuple[int, int]],
-               source: Callable[[str], str | None] = lambda table: None) -> DataFrame:
+               source: Callable[[str], str | None] = lambda table: None, only: str | None = None) -> DataFrame:
     """Run ``load`` (to rows and quarantined lines) for every table that the
     run's log does not have as loaded, all at the same time; the audit.
-    ``source`` tells the state of a table's input, for the log."""
+    ``source`` tells the state of a table's input, for the log.  ``only`` one
+    table: the batch is not ended by it."""
     began = time.time()
     last = {e["table"]: e["status"] for e in store.events() if e["layer"] == layer}
 
@@ -76,10 +77,11 @@ def load_layer(store: LayerStore, layer: str, load: Callable[[str], tuple[int, i
                   error=f"{type(error).__name__}: {error}"[:ERROR_CHARS] if error else None)
         return error
 
-    todo = [t for t in TABLES if last.get(t) != "loaded"]
+    todo = [t for t in ([only] if only else TABLES) if last.get(t) != "loaded"]
     errors = {t: e for t, e in run_concurrently({t: (lambda t=t: one(t)) for t in todo}).items() if e}
-    store.log(layer=layer, table=BATCH, seconds=round(time.time() - began, 3),
-              status="failed" if errors else "loaded")
+    if not only:
+        store.log(layer=layer, table=BATCH, seconds=round(time.time() - began, 3),
+                  status="failed" if errors else "loaded")
     if errors:
         raise LoadFailed(f"{layer}: " + "; ".join(f"{t}: {e}" for t, e in errors.items())) \
             from next(iter(errors.values()))
@@ -108,21 +110,23 @@ def quarantine_table(store: LayerStore, table: str) -> DataFrame:
 
 
 def load_bronze(store: LayerStore, landing_dir: str, null_values: tuple[str, ...] = ("",),
-                checks: Callable[[str], dict[str, Column]] = lambda table: {}) -> DataFrame:
-    """All six loads (independent, run concurrently); the audit has one row
-    per table and the batch total."""
+                checks: Callable[[str], dict[str, Column]] = lambda table: {},
+                only: str | None = None) -> DataFrame:
+    """All six loads (independent, run concurrently), or that of ``only`` one
+    table; the audit has one row per table and the batch total."""
     return load_layer(store, "bronze", lambda t: load_csv_table(store, landing_dir, t, null_values, checks(t)),
-                      lambda t: extract_state(store.spark, landing_dir, t))
+                      lambda t: extract_state(store.spark, landing_dir, t), only)
 
 
 def land_sources(spark: SparkSession, tables: dict[str, DataFrame], landing_dir: str,
-                 null_value: str = "", malformed: dict[str, DataFrame] | None = None) -> None:
+                 null_value: str = "", malformed: dict[str, DataFrame] | None = None,
+                 compression: str = "none") -> None:
     """Write source tables as CSV extracts in the fixed folder layout, with
     the given malformed rows (columns of text) beside them."""
     def one(table: str, df: DataFrame) -> None:
         path = f"{landing_dir.rstrip('/')}/{SOURCE_FILES[table]}"
-        write_csv(df, path, null_value)
+        write_csv(df, path, null_value, compression=compression)
         if malformed and table in malformed:
-            write_csv(malformed[table], path, null_value, append=True)
+            write_csv(malformed[table], path, null_value, append=True, compression=compression)
 
     run_concurrently({t: (lambda t=t, df=df: one(t, df)) for t, df in tables.items()})
