@@ -50,6 +50,7 @@ LONGS = DEEP * BITS // 64
 MISS = 1e-4
 MARGIN = 0.06      # about five standard errors of the estimate at 0.8 and more
 BLOCK = 2048       # members compared at once
+DEEP_BLOCK = 256   # rows whose DEEP minima are held at once
 
 # odd factors and offsets of the permutations, on 32 bits of a shingle's hash
 _AB = X.mix64(np.arange(1, 2 * DEEP + 1, dtype=X.U64) * X.U64(0x8CB92BA72F3D8DD7)) >> X.U64(32)
@@ -88,11 +89,11 @@ def _minima(s: np.ndarray, first: np.ndarray, perms: int) -> np.ndarray:
 
 def _packed(minima: np.ndarray) -> np.ndarray:
     """Low bits of the minima (mixed, so that small minima keep them), in longs."""
-    low = X.mix64(minima.astype(X.U64) * X.FILL) & X.U64((1 << BITS) - 1)
     out = np.zeros((LONGS, minima.shape[1]), X.U64)
     per = 64 // BITS
     for k in range(DEEP):
-        out[k // per] |= low[k] << X.U64(BITS * (k % per))
+        low = X.mix64(minima[k].astype(X.U64) * X.FILL) & X.U64((1 << BITS) - 1)
+        out[k // per] |= low << X.U64(BITS * (k % per))
     return out
 
 
@@ -147,17 +148,17 @@ def deep(docs: DataFrame, n: int, rows: int) -> DataFrame:
             # a row of the same id with another text is not the node's
             keep = [r for r, (e, c) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True))
                     if c and _digest(s[e - c:e]) == want[row + r]]
-            if not keep:
-                continue
-            s = np.concatenate([s[ends[r] - counts[r]:ends[r]] for r in keep])
-            off = np.concatenate([[0], np.cumsum(counts[keep])])
-            minima = _minima(s, off[:-1], DEEP)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([want[row + r] for r in keep], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(s.view(np.int64))),
-                _lists(_packed(minima).T.view(np.int64)),
-                _lists(_keys(minima, rows).T.view(np.int64))],
-                names=["node", "set", "sig", "bands"])
+            # a block of rows at a time: DEEP minima of each are held at once
+            for some in (keep[i:i + DEEP_BLOCK] for i in range(0, len(keep), DEEP_BLOCK)):
+                own = np.concatenate([s[ends[r] - counts[r]:ends[r]] for r in some])
+                off = np.concatenate([[0], np.cumsum(counts[some])])
+                minima = _minima(own, off[:-1], DEEP)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([want[row + r] for r in some], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(own.view(np.int64))),
+                    _lists(_packed(minima).T.view(np.int64)),
+                    _lists(_keys(minima, rows).T.view(np.int64))],
+                    names=["node", "set", "sig", "bands"])
 
     return arrow_map(docs, run, "node binary, set array<long>, sig array<long>, "
                      "bands array<long>")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from strata.llm import neardup as N
@@ -106,3 +107,23 @@ def test_deep_rows_keep_the_loss_bound():
     for percent in (80, 85, 95):
         r = N.deep_rows(percent)
         assert (1 - (percent / 100) ** r) ** (N.DEEP // r) <= N.MISS and r >= 5
+
+
+def test_deep_minima_are_taken_in_blocks(monkeypatch):
+    """What a task holds at once does not follow the rows of its batch."""
+    import pyarrow as pa
+
+    from strata.llm import neardup as N
+    texts = [" ".join(f"w{(i * 7 + k) % 50}" for k in range(20)) for i in range(700)]
+    col = pa.array(texts)
+    nodes = [N._digest(s[e - c:e]) for _, s, counts in N._sets(col, 3)
+             for e, c in zip(np.cumsum(counts).tolist(), counts.tolist())]
+    batch = pa.RecordBatch.from_arrays([col, pa.array(nodes, pa.binary())], names=["text", "node"])
+    monkeypatch.setattr(N, "arrow_map", lambda docs, run, schema: run)
+    sizes = []
+    monkeypatch.setattr(N, "_minima", lambda s, first, perms, f=N._minima: sizes.append(len(first)) or f(s, first, perms))
+    got = pa.Table.from_batches(list(N.deep(None, 3, 16)(batch)))
+    assert sum(sizes) == got.num_rows == len(texts) and max(sizes) <= 256
+    assert got["node"].to_pylist() == nodes
+    one = pa.Table.from_batches([b for i in range(len(texts)) for b in N.deep(None, 3, 16)(batch.slice(i, 1))])
+    assert one.equals(got.combine_chunks()) or one.to_pydict() == got.to_pydict()
