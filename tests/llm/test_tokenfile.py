@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -90,3 +91,16 @@ def test_cache_is_bounded(monkeypatch):
     for k in range(5):
         list(e.batches(pa.array([" ".join(f"w{k}x{i}" for i in range(30))])))
         assert len(e.length) <= 50
+
+
+def test_joined_pieces_encode_as_alone():
+    """Pieces go through the tokenizer many at a time; each keeps its own ids."""
+    pool = "abzAZ09'’.,-_<|>\t\r\x0b\x85\xa0　​̧́क़İẞßéÀ漢字ガ각😀👩‍\x00﻿�"
+    parts = [*pool, "<|endoftext|>", "<|startoftext|>", "'s", "'LL", "don't", "</w>"]
+    r = random.Random(1)
+    pieces = ["".join(r.choice(parts) for _ in range(r.randint(1, 8))) for _ in range(3000)]
+    enc = K.Encoder()
+    want = [e.ids for e in enc.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    flat, length = enc.encode(pieces)
+    assert length.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+    assert [len(x) for x in enc.encode([])] == [0, 0]
